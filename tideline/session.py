@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,3 +33,9 @@ def fresh(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few rows as a table, by SQL functions alone."""
+    given = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
+    return spark.range(1).select(F.explode(given).alias("r")).select("r.*")
