@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import share, texts
+from tideline.llm.common import once, share, texts
 from tideline.session import settled
 
 #: Fixed value: white space as Unicode has it.
@@ -45,11 +45,6 @@ NONE = (1 << 31) - 1  # rank of a pair that has none
 _names = itertools.count()
 
 
-def once(value: Column, f) -> Column:
-    """f(value), with value evaluated once however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def jvm_pattern(pattern: str) -> str:
     """The splitting pattern with white space as Unicode has it, for Java's matcher."""
     return pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"(?!\S)", f"(?![^{WHITE}])").replace(r"\s", f"[{WHITE}]")

@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.llm.common import once
 from tideline.session import settled, small_table
 
 ROWS, WIDTH = 3, 8  # cells of a block
@@ -35,11 +36,6 @@ RETRIES = 5  # after these the digests themselves are compared, which always suc
 CELL = "struct<n: int, k: bigint, c: bigint>"
 
 
-def once(value: Column, f) -> Column:
-    """f(value), with value evaluated once however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def digests(text: Column) -> Column:
     """Distinct paragraph digests."""
     return F.array_distinct(F.transform(F.split(text, "\n", -1), lambda p: F.xxhash64(p)))

@@ -24,13 +24,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import once
 from tideline.session import fresh, settled
 
 DOMAINS = ("clean", "poor", "toxic")
 TARGETS = (0.88, 0.06, 0.06)
 STEPS = 32  # of a posterior
 BINS = 12  # of a feature
-ROUNDS, TOLERANCE = 80, 1e-4
+ROUNDS, TOLERANCE = 50, 1e-3
 SPACE = r"[^\x20\x09-\x0D]+"
 
 
@@ -93,13 +94,15 @@ def _posterior(bins: Column, weights: list) -> Column:
 
 def _steps(logs: Column) -> Column:
     """The posterior in STEPS-ths: the first domains are rounded, the last takes the rest, never below zero."""
-    top = F.array_max(logs)
-    odds = F.transform(logs, lambda x: F.exp(x - top))
-    whole = F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
-    share = lambda k: F.get(odds, F.lit(k)) / whole * STEPS
-    first = F.round(share(0)).cast("int")
-    second = F.least(F.round(share(1)).cast("int"), F.lit(STEPS) - first)
-    return F.struct(first.alias("s0"), second.alias("s1"))
+
+    def split(odds: Column) -> Column:
+        def shares(whole: Column) -> Column:
+            share = lambda k: F.round(F.get(odds, F.lit(k)) / whole * STEPS).cast("int")
+            return once(share(0), lambda first: F.struct(first.alias("s0"), F.least(share(1), F.lit(STEPS) - first).alias("s1")))
+
+        return once(F.aggregate(odds, F.lit(0.0), lambda a, x: a + x), shares)
+
+    return once(logs, lambda given: once(F.array_max(given), lambda top: once(F.transform(given, lambda x: F.exp(x - top)), split)))
 
 
 def _rate(p: list[Column], rounds: list[tuple[float, list[float]]], upper: float | None) -> Column:
@@ -145,10 +148,10 @@ def fit(by_posterior: DataFrame, targets: list[float], upper: float | None, budg
         at = reached if before is None else reached + momentum * (reached - before)
         gradient = weight * (at - goal) / size
         rounds.append((momentum, gradient.tolist()))
-        rate = _rate(p, rounds, upper)
-        before, reached = reached, np.array([float(x) for x in by_posterior.agg(*[F.sum(F.col("n") * rate * x) for x in p]).first()])
+        rated = by_posterior.select("s0", "s1", (F.col("n") * _rate(p, rounds, upper)).alias("n"))
+        before, reached = reached, np.array([float(x) for x in rated.agg(*sums).first()])
         t = later
-        if np.abs(reached - goal).max() <= TOLERANCE * budget or np.abs(reached - before).max() <= TOLERANCE * 1e-2 * budget:
+        if np.abs(reached - goal).max() <= TOLERANCE * budget or np.abs(reached - before).max() <= TOLERANCE / 4 * budget:
             break
     return rounds, goal.tolist(), reached.tolist()
 
@@ -158,7 +161,7 @@ def _shares() -> list[Column]:
     return [first, second, F.lit(1.0) - first - second]
 
 
-def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, scarcest: bool) -> tuple[DataFrame, DataFrame, list]:
+def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, by_first: bool) -> tuple[DataFrame, DataFrame, list]:
     """(doc_id, n_tokens, s0, s1) per row, (s0, s1, rate) per posterior, and the classifier."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     known = settled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), tokens(text).alias("n_tokens"), features(text).alias("bins")))
@@ -167,9 +170,8 @@ def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, sca
     # at most (STEPS + 1) * (STEPS + 2) / 2 rows
     by_posterior = settled(members.groupBy("s0", "s1").agg(F.sum("n_tokens").cast("double").alias("n")).coalesce(1))
     budget = None
-    if scarcest:
-        have = [float(x or 0) for x in by_posterior.agg(*[F.sum(F.col("n") * x) for x in _shares()]).first()]
-        budget = min(h / t for h, t in zip(have, targets, strict=True) if t > 0) * sum(targets)
+    if by_first:
+        budget = float(by_posterior.agg(F.sum(F.col("n") * _shares()[0])).first()[0] or 0) / targets[0] * sum(targets)
     rounds, _, _ = fit(by_posterior, list(targets), upper, budget)
     return members, settled(by_posterior.select("s0", "s1", _rate(_shares(), rounds, upper).alias("rate"))), weights
 
@@ -195,12 +197,12 @@ def rates(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
-    """The rows of docs that a mix keeps, all columns: rates of at most 1 at the largest budget that repeats no document
-    (the scarcest domain is kept whole); a row stays if its draw is below its rate."""
+    """The rows of docs that a mix keeps, all columns: rates of at most 1, so that no document is repeated, at the budget
+    that needs all of the first domain; a row stays if its draw is below its rate."""
     _, rated, weights = _rated(docs, labels, targets, 1.0, True)
-    bins, steps, s0, s1, rate = (fresh(docs.columns, x) for x in ("_bins", "_steps", "_s0", "_s1", "_rate"))
+    steps, s0, s1, rate = (fresh(docs.columns, x) for x in ("_steps", "_s0", "_s1", "_rate"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    placed = docs.withColumn(bins, features(text)).withColumn(steps, _steps(_posterior(F.col(bins), weights)))
+    placed = docs.withColumn(steps, once(features(text), lambda b: _steps(_posterior(b, weights))))
     placed = placed.withColumns({s0: F.col(steps)["s0"], s1: F.col(steps)["s1"]})
     named = rated.select(F.col("s0").alias(s0), F.col("s1").alias(s1), F.col("rate").alias(rate))
     # named has at most some hundred rows whatever the input, so a broadcast of it is bounded
