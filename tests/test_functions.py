@@ -1,0 +1,177 @@
+"""Edge tables of the scalar conversions."""
+
+import base64
+import struct
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tideline.functions import bits, collections, geo, numeric, tagged, temporal, text
+
+
+def one(spark, kind, value, f):
+    """f over one value of a SQL type."""
+    return spark.createDataFrame([(value,)], f"v {kind}").select(f(F.col("v")).alias("r")).first()["r"]
+
+
+def fails(spark, kind, value, f):
+    with pytest.raises(PySparkException):
+        one(spark, kind, value, f)
+
+
+def many(spark, kind, cases, f):
+    rows = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(cases)], f"i int, v {kind}").select("i", f(F.col("v")).alias("r")).collect()
+    got = {r["i"]: r["r"] for r in rows}
+    for i, (given, want) in enumerate(cases):
+        value = bytes(got[i]) if isinstance(got[i], bytearray) else got[i]
+        assert value == want, (given, value, want)
+
+
+def test_integers(spark):
+    many(spark, "bigint", [(32767, 32767), (-32768, -32768), (None, None)], lambda c: numeric.integer(c, "smallint"))
+    fails(spark, "bigint", 32768, lambda c: numeric.integer(c, "smallint"))
+    fails(spark, "bigint", 1 << 31, lambda c: numeric.integer(c, "int"))
+    many(spark, "double", [(1.5, 1.5), (None, None)], numeric.float32)
+    fails(spark, "double", 1e39, numeric.float32)
+
+
+def test_decimal_text(spark):
+    many(spark, "string", [("NaN", None), (None, None), ("-12.34", __import__("decimal").Decimal("-12.34"))], lambda c: numeric.decimal(c, 10, 2))
+    for bad in ("abc", "Infinity", "1.234", "1", ""):
+        fails(spark, "string", bad, lambda c: numeric.decimal(c, 10, 2))
+
+
+def test_decimal_bytes_every_small_value(spark):
+    """-99,999 to 99,999 through wire bytes, against Python's own two's complement."""
+    rows = spark.range(-99_999, 100_000).select("id", numeric.twos_complement(F.col("id")).alias("b"))
+    back = rows.select("id", "b", numeric.from_twos_complement(F.col("b"), 0).cast("long").alias("r"))
+    assert back.where("id != r").count() == 0
+    for r in back.where("abs(id) % 9973 < 3").collect():
+        magnitude = -(r.id + 1) if r.id < 0 else r.id
+        assert bytes(r.b) == r.id.to_bytes(magnitude.bit_length() // 8 + 1, "big", signed=True)
+
+
+def test_wide_decimals_and_variable_numeric(spark):
+    D = __import__("decimal").Decimal
+    value = D("-12345678901234567890123456.78")
+    got = one(spark, "decimal(30,2)", value, lambda c: numeric.decimal_bytes(c, 30, 2))
+    assert int.from_bytes(bytes(got), "big", signed=True) == int(value * 100)
+    r = one(spark, "string", "12.34", numeric.variable_numeric)
+    assert (r["scale"], bytes(r["value"])) == (2, b"\x04\xd2")
+    r = one(spark, "string", "10987.65401", numeric.variable_numeric)
+    assert (r["scale"], base64.b64encode(bytes(r["value"])).decode()) == (5, "QX3UWQ==")
+    assert one(spark, "string", "NaN", numeric.variable_numeric) is None
+
+
+def test_money(spark):
+    D = __import__("decimal").Decimal
+    many(spark, "string", [("$52,093.89", D("52093.89")), ("-1.00", D("-1.00")), (None, None)], numeric.money)
+    for bad in ("$1000,234", "NaN", "x"):
+        fails(spark, "string", bad, numeric.money)
+    assert one(spark, "string", "1.2345", lambda c: numeric.money(c, 4)) == D("1.2345")
+    assert base64.b64encode(bytes(one(spark, "string", "52093.89", lambda c: numeric.decimal_bytes(numeric.money(c), 18, 2)))).decode() == "T30t"
+
+
+def test_bits(spark):
+    assert one(spark, "string", "1", lambda c: bits.bit(c, 1)) is True
+    many(spark, "string", [("1000000011", bytes([3, 2]))], lambda c: bits.bit(c, 10))
+    many(spark, "string", [("10101", bytes([21]))], lambda c: bits.bit(c, 5))
+    wide = "1" + "0" * 239
+    many(spark, "string", [(wide, bytes(29) + bytes([128]))], lambda c: bits.bit(c, 240))
+    fails(spark, "string", "101", lambda c: bits.bit(c, 2))
+    fails(spark, "string", "2", lambda c: bits.bit(c, 1))
+    with pytest.raises(ValueError):
+        bits.bit(F.lit("1"), 0)
+    many(spark, "string", [("0", b""), ("10101", b"\x15"), (None, None)], bits.bit_varying)
+    fails(spark, "string", "10101", lambda c: bits.bit_varying(c, 4))
+    many(spark, "binary", [(b"\x01", True), (b"\x00", False)], lambda c: bits.bit_bytes(c, 1))
+    fails(spark, "binary", b"\x02", lambda c: bits.bit_bytes(c, 1))
+    fails(spark, "int", 2, bits.flag)
+
+
+def test_enums_sets_maps(spark):
+    labels = ["a", "b", "it's"]
+    many(spark, "int", [(0, "a"), (2, "it's"), (None, None)], lambda c: collections.enum_label(c, labels))
+    many(spark, "int", [(1, "a"), (3, "it's")], lambda c: collections.enum_label(c, labels, 1))
+    fails(spark, "int", 3, lambda c: collections.enum_label(c, labels))
+    many(spark, "bigint", [(0, ""), (1, "a"), (5, "a,it's"), (7, "a,b,it's")], lambda c: collections.set_labels(c, labels))
+    assert collections.quoted_values("('a','it''s','x,y','')") == ["a", "it's", "x,y", ""]
+    with pytest.raises(ValueError):
+        collections.quoted_values("('a")
+    assert one(spark, "map<string,string>", {"a": "b", "c": None}, collections.without_nulls) == {"a": "b"}
+    assert one(spark, "string", '[{"k":1},"s",2]', collections.json_texts) == ['{"k":1}', "s", "2"]
+    fails(spark, "string", "{", collections.json_texts)
+
+
+def test_points_and_geometries(spark):
+    r = one(spark, "string", "(12.34,56.78)", geo.point)
+    assert (r["x"], r["y"]) == (12.34, 56.78)
+    for bad in ("12,34", "(a,1)", "(1)"):
+        fails(spark, "string", bad, geo.point)
+    data = struct.pack("<IBIdd", 0, 1, 1, 12.34, 56.78)
+    r = one(spark, "binary", data, geo.binary_point)
+    assert (r["x"], r["y"]) == (12.34, 56.78)
+    fails(spark, "binary", data[:-1], geo.binary_point)
+    fails(spark, "binary", struct.pack("<IBIdd", 0, 0, 1, 1.0, 1.0), geo.binary_point)
+    r = one(spark, "binary", struct.pack("<IBIdd", 4326, 1, 1, 1.0, 2.0), geo.binary_geometry)
+    assert r["srid"] == 4326 and bytes(r["wkb"]) == struct.pack("<BIdd", 1, 1, 1.0, 2.0)
+    r = one(spark, "string", "0101", geo.hex_geometry)
+    assert r["wkb"] == base64.b64encode(b"\x01\x01").decode() and r["srid"] is None
+
+
+def test_times_of_day(spark):
+    many(spark, "string", [("00:00:00", 0), ("12:34:56", 45_296_000), ("23:59:59.999999", 86_399_999), ("24:00:00", 86_400_000), (None, None)], temporal.clock_millis)
+    many(spark, "string", [("04:05:06", 14_706_000_000), ("00:00:00.1", 100_000)], temporal.clock_micros)
+    for bad in ("24:00:00", "-01:00:00", "25:00:00", "838:59:59", "12:60:00", "x"):
+        fails(spark, "string", bad, temporal.clock_micros)
+    cases = [("05:34:17.746572-05", "10:34:17.746572Z"), ("23:00:00+00", "23:00:00.000000Z"), ("00:30:00.123+02", "22:30:00.123000Z"), (None, None)]
+    many(spark, "string", cases, temporal.utc_clock)
+    for bad in ("05:34:17", "05:34:17.7-05", "05:34:17-05:30", "25:00:00+00"):
+        fails(spark, "string", bad, temporal.utc_clock)
+
+
+def test_dates(spark):
+    cases = [("2023-05-03", 19480), ("1969-01-01", -365), ("0000-00-00", None), ("2020-00-10", None), ("2020-10-00", None), ("10000-01-01", 2932897), ("0001-01-01", -719162), ("2020-02-29", 18321), (None, None), ("-1-01-01", None)]
+    many(spark, "string", cases, temporal.guarded_date)
+    for bad in ("abcd", "2021-02-29", "2020-13-01", "2020/01/01"):
+        fails(spark, "string", bad, temporal.guarded_date)
+    cases = [("2001-02-03 04:05:06", "2001-02-03 04:05:06"), ("0000-00-00 00:00:00", None), ("2001-00-03 04:05:06", None), ("2001-01-00", None)]
+    many(spark, "string", cases, temporal.zero_date_guard)
+
+
+def test_timestamps(spark):
+    cases = [("2001-02-16 13:38:40", "2001-02-16T13:38:40Z"), ("2024-01-01 00:00:01.0009", "2024-01-01T00:00:01.0009Z"), ("2024-01-01 00:00:10.100000", "2024-01-01T00:00:10.1Z"), (None, None)]
+    many(spark, "string", cases, lambda c: temporal.zoned_text(c.cast("timestamp")))
+    many(spark, "string", [("2001-02-03 04:05:06", 981_173_106_000_000)], lambda c: temporal.epoch_micros(c.cast("timestamp_ntz")))
+    many(spark, "string", [("1969-12-31 12:00:00", -1)], lambda c: temporal.epoch_days(c.cast("timestamp")))
+    many(spark, "string", [("2024-01-01 00:00:00.123456", 1_704_067_200_123_456_000)], lambda c: temporal.epoch_nanos(c.cast("timestamp_ntz")))
+    layouts = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss.SSS"]
+    assert one(spark, "string", "2024-02-03 01:02:03.450", lambda c: F.unix_millis(temporal.parse_exact(c, layouts))) == 1_706_922_123_450
+    for bad in ("2024-02-30", "2024-02-03 01:02:03.45"):
+        fails(spark, "string", bad, lambda c: temporal.parse_exact(c, layouts))
+
+
+def test_intervals(spark):
+    f = lambda m, d, u: spark.range(1).select(temporal.interval_micros(F.lit(m), F.lit(d), F.lit(u)).alias("r")).first()["r"]
+    assert f(1, 0, 0) == 2_629_800_000_000 and f(0, 1, 1) == 86_400_000_001 and f(0, 0, 7_200_000_000) == 7_200_000_000
+    with pytest.raises(PySparkException):
+        f(4_000_000, 0, 0)
+
+
+def test_identifiers(spark):
+    many(spark, "string", [("E7082E96-7190-4CC3-8AB4-BD27F1269F08", "e7082e96-7190-4cc3-8ab4-bd27f1269f08"), ("e7082e9671904cc38ab4bd27f1269f08", "e7082e96-7190-4cc3-8ab4-bd27f1269f08")], text.uuid)
+    fails(spark, "string", "xyz", text.uuid)
+    assert one(spark, "binary", bytes(range(16)), text.mixed_endian_uuid) == "03020100-0504-0706-0809-0a0b0c0d0e0f"
+    assert one(spark, "string", "arn:x:table/t/stream/2023", text.table_arn) == "arn:x:table/t"
+    fails(spark, "string", "arn:x:table/t", text.table_arn)
+    assert text.unescaped("`a`") == "a" and text.unescaped("``a``") == "`a`" and text.unescaped("a") == "a"
+    assert one(spark, "string", "<a&b>", text.escaped_json) == "\\u003ca\\u0026b\\u003e"
+
+
+def test_tagged_items(spark):
+    item = '{"s":{"S":"x"},"n":{"N":"1.5"},"z":{"NULL":true},"b":{"B":"aGk="},"l":{"L":[{"S":"a"},{"N":"1"}]},"m":{"M":{"k":{"BOOL":false}}},"ss":{"SS":["a"]},"ns":{"NS":["2"]},"bs":{"BS":["aGk="]}}'
+    assert one(spark, "string", item, tagged.decode) == '{"b":"aGk=","bs":["aGk="],"l":["a",1.0],"m":{"k":false},"n":1.5,"ns":[2.0],"s":"x","ss":["a"],"z":null}'
+    assert '"z"' not in one(spark, "string", item, tagged.schema)
+    for bad in ('{"a":{"Q":"x"}}', '{"a":{"B":"!"}}', '{"a":{}}'):
+        fails(spark, "string", bad, tagged.decode)
