@@ -171,8 +171,8 @@ def _prepared(docs: DataFrame) -> DataFrame:
     ids = settled(keyed.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).alias("need")))
     nexts = settled(_nexts(ids))
     first = Window.partitionBy("key").orderBy("text")
-    # both sides of the last join read one exchange of the texts by key
-    others = keyed.withColumn("at", F.row_number().over(first)).where("at = 1").join(nexts, "key")
+    # both sides of the last join read one exchange of the texts by key; a rank here would add a step of its own before it
+    others = keyed.withColumn("earlier", F.lag("key").over(first)).where("earlier is null").join(nexts, "key")
     others = others.select(F.col("prev_key").alias("key"), F.col("doc_id").alias("next_id"), F.substr(F.col("text"), F.lit(1), F.col("need").cast("int")).alias("head"), digests(F.col("text")).alias("d_next"))
     both = keyed.join(others, "key", "left")
     n = F.length("text")
