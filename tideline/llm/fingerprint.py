@@ -1,10 +1,11 @@
 """Document fingerprints: invertible Bloom lookup sketches of a text's paragraphs. DataFrame and SQL functions only.
 
 A paragraph is a line; its digest is 64 bits. The distinct digests of a text are dealt to blocks by their low bits, and
-each block hashes a digest to one cell in each of its three rows; a cell has a count and the exclusive-or of digests and
+each block hashes a digest to one cell in each of its four rows; a cell has a count and the exclusive-or of digests and
 of their check hashes. Subtracting two sketches cell by cell cancels what both texts have; peeling then takes pure cells
 (one digest left, proved by its check hash) until none is left, which recovers the digests that differ. Where peeling
-gets stuck, both sketches are made again with four times the blocks, for those documents alone, until all are recovered.
+gets stuck, both sketches are made again with four times the blocks and other cells, for those documents alone, until all are
+recovered.
 The likeness of two fingerprints is the share of common paragraphs that follows: common / all distinct.
 
 The fingerprint string has the number of digests, the number of blocks, and each cell's count, digest and check sums.
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 from tideline.llm.common import once
 from tideline.session import settled, small_table
 
-ROWS, WIDTH = 3, 8  # cells of a block
+ROWS, WIDTH = 4, 8  # cells of a block; two digests share all their cells once in WIDTH^ROWS pairs
 CELLS = ROWS * WIDTH
-PER_BLOCK = 6  # digests of a text by block, about
+PER_BLOCK = 7  # digests of a text by block, about
 ROUNDS = 6  # of peeling
 GROWTH = 2  # powers of two by which a retry is larger
 RETRIES = 5  # after these the digests themselves are compared, which always succeeds
@@ -41,12 +42,12 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.split(text, "\n", -1), lambda p: F.xxhash64(p)))
 
 
-def _check(k: Column) -> Column:
-    return F.xxhash64(k, F.lit("check"))
+def _check(k: Column, salt: int) -> Column:
+    return F.xxhash64(k, F.lit(salt))
 
 
-def _items(keys: Column) -> Column:
-    return F.transform(keys, lambda k: F.struct(k.alias("k"), _check(k).alias("c")))
+def _items(keys: Column, salt: int) -> Column:
+    return F.transform(keys, lambda k: F.struct(k.alias("k"), _check(k, salt).alias("c")))
 
 
 def block_bits(n: Column) -> Column:
@@ -89,7 +90,7 @@ def _no_cells() -> Column:
     return F.array_repeat(zero, CELLS)
 
 
-def sketch(keys: Column, bits: Column) -> Column:
+def sketch(keys: Column, bits: Column, salt: int = 0) -> Column:
     """Cells of all blocks. Blocks are dealt in two levels, so a long text costs no square of its blocks."""
     low = F.floor(bits / 2).cast("int")
 
@@ -108,19 +109,19 @@ def sketch(keys: Column, bits: Column) -> Column:
 
         return F.flatten(F.transform(_upto(_power(low)), within))
 
-    return once(_items(keys), outer)
+    return once(_items(keys, salt), outer)
 
 
 def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["c"].bitwiseXOR(y["c"]).alias("c")))
 
 
-def _peel_block(cells: Column) -> Column:
+def _peel_block(cells: Column, salt: int) -> Column:
     """Number of digests recovered from one block; null if peeling gets stuck."""
     state = F.struct(cells.alias("cells"), F.lit(0).alias("found"))
 
     def round_(s: Column, _: Column) -> Column:
-        pure = F.array_distinct(F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["k"]) == c["c"])))
+        pure = F.array_distinct(F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["k"], salt) == c["c"])))
         taken = lambda p: F.struct(_apply(s["cells"], p, -1, lambda i: i["n"]).alias("cells"), (s["found"] + F.size(p)).alias("found"))
         return once(pure, lambda p: F.when(F.size(p) > 0, taken(p)).otherwise(s))
 
@@ -128,13 +129,13 @@ def _peel_block(cells: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), state, round_, lambda s: F.when(clean(s), s["found"]))
 
 
-def differing(a: Column, b: Column, bits: Column) -> Column:
+def differing(a: Column, b: Column, bits: Column, salt: int = 0) -> Column:
     """Number of digests in one of two digest arrays but not in the other, by sketches of 2^bits blocks; null on failure."""
     def peel(cells: Column) -> Column:
-        by_block = F.transform(_upto(_power(bits)), lambda i: _peel_block(F.slice(cells, (i * CELLS + 1).cast("int"), F.lit(CELLS))))
+        by_block = F.transform(_upto(_power(bits)), lambda i: _peel_block(F.slice(cells, (i * CELLS + 1).cast("int"), F.lit(CELLS)), salt))
         return F.aggregate(by_block, F.lit(0), lambda x, y: x + y)
 
-    return once(subtract(sketch(a, bits), sketch(b, bits)), peel)
+    return once(subtract(sketch(a, bits, salt), sketch(b, bits, salt)), peel)
 
 
 def written(keys: Column) -> Column:
@@ -196,7 +197,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     pending, solved = _prepared(docs), []
     for retry in range(RETRIES + 1):
         more = F.lit(GROWTH * retry)
-        by = [differing(F.col("d_text"), F.col(x), _common_bits("d_text", x) + more).alias(y) for x, y in (("d_edited", "x_edited"), ("d_next", "x_next"))]
+        by = [differing(F.col("d_text"), F.col(x), _common_bits("d_text", x) + more, retry).alias(y) for x, y in (("d_edited", "x_edited"), ("d_next", "x_next"))]
         tried = settled(pending.select(*[c for c in pending.columns if c[:2] != "x_"], *by))
         done = F.col("x_edited").isNotNull() & F.col("x_next").isNotNull()
         solved.append(tried.where(done))
