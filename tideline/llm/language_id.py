@@ -58,14 +58,16 @@ class Model:
     def __init__(self, counts: pd.DataFrame):
         """counts: lang, k, code, n; code holds the symbol in its lowest byte and the context above it."""
         self.langs = sorted(counts["lang"].unique())
+        if not self.langs:
+            return
         self.symbols = np.zeros(256, np.int64)  # 0: a byte never seen
         zero = counts[counts["k"] == 0]
-        seen = np.unique(zero["code"].to_numpy())
+        seen = np.unique(zero["code"].to_numpy(np.int64))
         self.symbols[seen] = np.arange(1, len(seen) + 1)
         self.size = size = len(seen) + 1
         n_langs = len(self.langs)
-        lang = counts["lang"].map({x: i for i, x in enumerate(self.langs)}).to_numpy()
-        k, code, n = (counts[c].to_numpy() for c in ("k", "code", "n"))
+        lang = counts["lang"].map({x: i for i, x in enumerate(self.langs)}).to_numpy(np.int64)
+        k, code, n = (counts[c].to_numpy(np.int64) for c in ("k", "code", "n"))
         context, symbol = code >> 8, self.symbols[code & 255]
         # the commonest contexts of the highest order, as many as the table has room for
         known: list[np.ndarray] = []
