@@ -12,7 +12,7 @@ def spark():
 
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

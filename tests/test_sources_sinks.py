@@ -107,7 +107,7 @@ def test_table_sink(spark, tmp_path):
     assert sink.read().count() == 0
     sink.prepare("drop")
     assert sink.read() is None
-    soft = writers.sink(SinkConfig("transfer", {"path": str(tmp_path / "s"), "softDelete": True}), spark, ["id"])
+    soft = writers.sink(SinkConfig("table", {"path": str(tmp_path / "s"), "softDelete": True}), spark, ["id"])
     soft.append(spark.createDataFrame([(1, "a", 1)], "id int, v string, at int"), ["at"])
     soft.merge(spark.createDataFrame([(1, "a", 2, "d")], "id int, v string, at int, op string"), "op", ["at"])
     assert soft.read().first()[writers.DELETED] is True

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from tideline.operators.projection import ColumnChoice
 
 SOURCES = ("dynamodb", "mongodb", "mssql", "mysql", "postgresql")
-SINKS = ("kafka", "transfer")
+SINKS = ("kafka", "table")
 BEFORE_BACKFILL = ("none", "truncate", "drop")
 AUTH = ("none", "scram-sha-512", "aws-msk-iam")
 
