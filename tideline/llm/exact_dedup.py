@@ -22,6 +22,7 @@ from tideline.session import fresh, settled
 
 SHARD_ROWS = 4096  # digests of a shard, about; its index row takes some 200 kB
 KEYS_PER_BUCKET = 4
+TRIES = 128  # pilots tried by one numpy call
 DIGEST = 32
 
 
@@ -37,7 +38,7 @@ def digest(text):
 def _mixed(words: np.ndarray, pilot) -> np.ndarray:
     """A 64-bit finaliser over the digest's own bits and a pilot."""
     with np.errstate(over="ignore"):
-        x = words ^ (np.uint64(pilot) * np.uint64(0x9E3779B97F4A7C15))
+        x = words ^ (np.asarray(pilot, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         return x ^ (x >> np.uint64(29))
 
@@ -60,11 +61,16 @@ def build_mph(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if sizes[b] < 2:
             break
         keys = order[starts[b] : starts[b + 1]]
-        for pilot in range(1, 1 << 31):
-            at = (_mixed(words[keys, 1], pilot) % np.uint64(n)).astype(np.int64)
-            if free[at].all() and len(set(at.tolist())) == len(at):
+        for first in range(1, 1 << 31, TRIES):
+            tried = np.arange(first, first + TRIES, dtype=np.uint64)
+            at = (_mixed(words[keys, 1][None, :], tried[:, None]) % np.uint64(n)).astype(np.int64)
+            fits = free[at].all(axis=1)
+            fits[fits] = (np.diff(np.sort(at[fits], axis=1), axis=1) > 0).all(axis=1)
+            if fits.any():
                 break
-        pilots[b], slots[keys] = pilot, at
+        best = int(fits.argmax())
+        pilots[b], at = int(tried[best]), at[best]
+        slots[keys] = at
         free[at] = False
     left = np.flatnonzero(free)
     single = [order[starts[b]] for b in np.flatnonzero(sizes == 1)]
