@@ -202,3 +202,62 @@ def test_stream_without_replays(spark, tmp_path):
     query = apply.without_replays(stream, "sid", "sid string, tx long").writeStream.foreachBatch(lambda df, n: seen.extend(map(tuple, df.collect()))).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(seen) == sorted((f"s{i % 3}", i) for i in range(30))
+
+
+def test_snapshot_run_from_settings(spark, tmp_path):
+    """Settings to messages and to a table, over an embedded database with declared types."""
+    from tideline.plans import run
+    from tideline.types import mysql
+
+    url = f"jdbc:derby:{tmp_path}/run;create=true"
+    frame = spark.createDataFrame([(1, "12.50", "a"), (2, None, "b"), (3, "0.01", "c")], "ID int, PRICE string, NAME string").withColumn("PRICE", F.col("PRICE").cast("decimal(10,2)"))
+    frame.write.format("jdbc").options(url=url, driver=jdbc.DRIVERS["derby"], dbtable="T").save()
+    table = TableConfig("T", keys=("ID",), start="2", end="3")
+    plan = jdbc.plan_of(table, ["ID"], {"ID": mysql.parse("int"), "PRICE": mysql.parse("decimal(10,2)")})
+    where = SourceConfig("derby", tables=(table,), options={"url": url})
+    from tideline.plans.config import Settings
+
+    out = str(tmp_path / "messages")
+    assert run.snapshot(spark, Settings(where, SinkConfig("kafka", {"topicPrefix": "p", "path": out})), {"T": plan}) == {"T": 2}
+    rows = {json.loads(r["key"])["payload"]["ID"]: r for r in spark.read.json(out).collect()}
+    assert set(rows) == {2, 3} and rows[3]["topic"] == "p.T" and json.loads(rows[3]["value"])["payload"]["after"] == {"ID": 3, "PRICE": "AQ==", "NAME": "c"}
+    assert json.loads(rows[2]["value"])["payload"]["after"]["PRICE"] is None
+    path = str(tmp_path / "tables")
+    assert run.snapshot(spark, Settings(where, SinkConfig("table", {"path": path, "beforeBackfill": "drop"})), {"T": plan}) == {"T": 2}
+    assert writers.TableSink(spark, f"{path}/T", ["ID"]).read().count() == 2
+
+
+def test_catalogue_rows_to_kinds():
+    rows = [("id", "integer", 32, 0, None, "int4", None), ("v", "tsvector", None, None, None, "tsvector", None), ("h", "USER-DEFINED", None, None, None, "hstore", None), ("n", "numeric", 7, 2, None, "numeric", None)]
+    kinds = jdbc.kinds_of("postgresql", rows)
+    assert list(kinds) == ["id", "h", "n"] and kinds["n"].spark == "decimal(7,2)"
+    jdbc.check_keys("postgresql", ["id"], {"id": "integer"})
+    for keys, declared in (([], {}), (["h"], {"h": "USER-DEFINED"})):
+        with pytest.raises(ValueError):
+            jdbc.check_keys("postgresql", keys, declared)
+    assert jdbc.kinds_of("mysql", [("a", "enum('x','y')")])["a"].values == ("x", "y")
+    assert jdbc.kinds_of("mssql", [("a", "datetime2", None, None, 7)])["a"].wire == "int64"
+    with pytest.raises(ValueError):
+        jdbc.kinds_of("oracle", [])
+
+
+def test_progress_listener(spark, tmp_path):
+    import time
+
+    from tideline.streaming.metrics import Progress, lag_ms
+
+    told = []
+    listener = Progress(lambda name, value, tags: told.append((name, value)))
+    spark.streams.addListener(listener)
+    try:
+        spark.range(5).coalesce(1).write.parquet(str(tmp_path / "in"))
+        query = spark.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream.foreachBatch(lambda df, n: df.count()).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        for _ in range(100):
+            if listener.batches:
+                break
+            time.sleep(0.1)
+        assert ("stream.rows", 5) in told and listener.rows == 5
+    finally:
+        spark.streams.removeListener(listener)
+    assert lag_ms(spark.range(3), "id", F.lit(10)).first()[0] == 10

@@ -7,9 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.operators import keyset
 from tideline.operators.keyset import EmptyTable
 from tideline.plans.config import SourceConfig, TableConfig
+from tideline.plans.snapshot import SnapshotPlan
 from tideline.sources.registry import reader
+from tideline.types import mssql, mysql, postgres
+from tideline.types.kind import Kind
 
 DRIVERS = {"mysql": "com.mysql.cj.jdbc.Driver", "postgresql": "org.postgresql.Driver", "mssql": "com.microsoft.sqlserver.jdbc.SQLServerDriver", "derby": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
@@ -130,3 +134,45 @@ def uses_gtid(variables: dict[str, str]) -> bool:
 def tagged(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Columns with their declared type in the field's metadata."""
     return df.select(*[F.col(c).alias(c, metadata={"declared": kinds[c]}) if c in kinds else F.col(c) for c in df.columns])
+
+
+def kinds_of(source_kind: str, rows: list[tuple], sql_mode: list[str] | None = None) -> dict[str, Kind]:
+    """Kinds by column from the rows of a catalogue query; columns that can't be read are left out."""
+    if source_kind == "mysql":
+        return {name: mysql.parse(declared, sql_mode or ()) for name, declared in rows}
+    if source_kind == "postgresql":
+        return {
+            name: postgres.parse(kind, precision, scale, length, udt)
+            for name, kind, precision, scale, length, udt, *_ in rows
+            if kind not in postgres.DROPPED and udt not in postgres.DROPPED
+        }
+    if source_kind == "mssql":
+        return {name: mssql.parse(kind, precision, scale, digits) for name, kind, precision, scale, digits in rows}
+    raise ValueError(f"no types of {source_kind}")
+
+
+def check_keys(source_kind: str, keys: list[str], declared: dict[str, str]) -> None:
+    """An error for a key whose type can't be one."""
+    if not keys:
+        raise ValueError("no primary key")
+    if source_kind == "postgresql" and (bad := [k for k in keys if declared.get(k) not in postgres.KEYS]):
+        raise ValueError(f"type can't be a key: {', '.join(f'{k} {declared.get(k)}' for k in bad)}")
+
+
+def load_plan(spark: SparkSession, source: SourceConfig, table: TableConfig, sql_mode: list[str] | None = None) -> SnapshotPlan:
+    """Columns, types, keys and range of a table, from its catalogue and its settings."""
+    rows = [tuple(r) for r in query(spark, source, COLUMN_QUERIES[source.kind].format(schema=table.schema, table=table.name)).collect()]
+    keys = key_columns(spark, source, table)
+    check_keys(source.kind, keys, {r[0]: r[1] for r in rows})
+    return plan_of(table, keys, kinds_of(source.kind, rows, sql_mode))
+
+
+def plan_of(table: TableConfig, keys: list[str], kinds: dict[str, Kind]) -> SnapshotPlan:
+    names = [kinds[k].name if k in kinds else "text" for k in keys]
+    start, end = (keyset.overrides(keys, names, x) for x in (table.start, table.end))
+    return SnapshotPlan(table.name, tuple(keys), kinds, table.choice, start, end)
+
+
+def create_statement(spark: SparkSession, source: SourceConfig, name: str) -> str:
+    """A table's own CREATE statement, to begin a schema history with."""
+    return query(spark, source, CREATE_QUERY.format(table=quoted(source.kind, name))).first()[1]
