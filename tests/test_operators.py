@@ -121,9 +121,12 @@ def test_as_of_matches_brute_force(spark):
     asks = [(draw.randint(0, 4), draw.randint(-5, 205), i) for i in range(80)]
     left, right = spark.createDataFrame(asks, "k int, t int, id int"), spark.createDataFrame(items, "k int, at int, v int")
     got = {r["id"]: r["v"] for r in asof.as_of(left, right, ["k"], "t", "at", ["v"]).collect()}
+    day = lambda c: F.timestamp_seconds(F.col(c) * 1000)
+    cut = asof.bucketed_as_of(left.withColumn("t", day("t")), right.withColumn("at", day("at")), ["k"], "t", "at", ["v"], 7_000)
+    bucketed = {r["id"]: r["v"] for r in cut.collect()}
     for k, t, i in asks:
         best = max(((at, v) for kk, at, v in items if kk == k and at <= t), default=(0, None))
-        assert got[i] == best[1]
+        assert got[i] == bucketed[i] == best[1]
 
 
 def test_merge_and_soft_delete(spark):

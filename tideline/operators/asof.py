@@ -21,17 +21,16 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, ri
     return known.select("_row.*", *[F.col(f"_found.{v}").alias(v) for v in values])
 
 
-def bucketed_as_of(left: DataFrame, right: DataFrame, left_time: str, right_time: str, values: list[str], width: int) -> DataFrame:
-    """As-of without keys: time is cut into buckets of `width` seconds, each bucket carries in the last item before it.
+def bucketed_as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str], width: int) -> DataFrame:
+    """As-of for hot keys, or for none: time is cut into buckets of `width` seconds, each bucket carries in the last item before it.
 
-    No task sees more than a bucket. The carried items are one row per non-empty bucket of right.
+    No task sees more of a key than a bucket. What is carried is one row per key and bucket that has rows.
     """
     bucket = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / (width * 1_000_000))
-    marked = right.select(F.col(right_time).alias("_rt"), *values).withColumn("_b", bucket("_rt"))
-    item = F.struct("_rt", *values)
-    last = marked.groupBy("_b").agg(F.max(item).alias("_last"))
+    marked = right.select(*keys, F.col(right_time).alias("_rt"), *values).withColumn("_b", bucket("_rt"))
+    last = marked.groupBy(*keys, "_b").agg(F.max(F.struct("_rt", *values)).alias("_last"))
     asked = left.select("*", bucket(left_time).alias("_b"))
-    order = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    frames = asked.select("_b").unionByName(marked.select("_b")).distinct().join(last, "_b", "left").withColumn("_before", F.last("_last", ignorenulls=True).over(order))
-    carried = frames.where(F.col("_before").isNotNull()).select("_b", "_before._rt", *[F.col(f"_before.{v}").alias(v) for v in values])
-    return as_of(asked, marked.unionByName(carried), ["_b"], left_time, "_rt", values).drop("_b")
+    order = (Window.partitionBy(*keys) if keys else Window).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    frames = asked.select(*keys, "_b").distinct().join(last, [*keys, "_b"], "full").withColumn("_before", F.last("_last", ignorenulls=True).over(order))
+    carried = frames.where(F.col("_before").isNotNull()).select(*keys, "_b", "_before._rt", *[F.col(f"_before.{v}").alias(v) for v in values])
+    return as_of(asked, marked.unionByName(carried), [*keys, "_b"], left_time, "_rt", values).drop("_b")

@@ -468,7 +468,15 @@ def asof_lookup(spark, sf_dir):
 def asof_without_key(spark, sf_dir):
     items = table(spark, sf_dir, "events").select((F.col("ts") - F.expr("INTERVAL 25 YEARS")).alias("at"), "event_id")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return asof.bucketed_as_of(orders, items, "o_orderdate", "at", ["event_id"], 30 * 86_400).select("o_orderkey", "event_id")
+    return asof.bucketed_as_of(orders, items, [], "o_orderdate", "at", ["event_id"], 30 * 86_400).select("o_orderkey", "event_id")
+
+
+@query("asof_hot_key", "SELECT e.event_id, p.event_id AS price_id FROM events e ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p ON (e.user_id % 2) = (p.user_id % 2) AND e.ts >= p.ts")
+def asof_hot_key(spark, sf_dir):
+    """Two keys hold all events; buckets of a day spread them."""
+    events = table(spark, sf_dir, "events").withColumn("side", F.col("user_id") % 2)
+    prices = events.where("event_type = 'purchase'").select("side", F.col("ts").alias("at"), F.col("event_id").alias("price_id"))
+    return asof.bucketed_as_of(events.select("side", "ts", "event_id"), prices, ["side"], "ts", "at", ["price_id"], 86_400).select("event_id", "price_id")
 
 
 @query("shard_lineage_ready", "SELECT s.n_nationkey AS shard FROM nation s LEFT JOIN nation p ON p.n_nationkey = s.n_nationkey - 5 WHERE s.n_nationkey % 4 <> 0 AND NOT coalesce(p.n_regionkey <> 2 AND p.n_nationkey % 4 <> 0, FALSE)")
