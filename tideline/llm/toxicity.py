@@ -226,13 +226,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     counted = rows.mapInPandas(_sides, "entry string, side int, toxic int, n long").groupBy("entry").agg(
         *[F.sum(F.when((F.col("side") == s) & (F.col("toxic") == t), F.col("n")).otherwise(0)).alias(f"n{s}{t}") for s in (0, 1) for t in (0, 1)]
     )
-    yes = F.col("n01") + F.col("n11")
-    counted = counted.where((F.col("entry") == "") | (yes >= LEAST_ROWS))
-    counts = sorted(tuple(r) for r in counted.collect())  # words in toxic rows of the bounded sample
-    if not counts or counts[0][0] != "":
-        rows_by = rows.groupBy("toxic").count().collect()
-        return Model({}, np.zeros((sum(r["count"] for r in rows_by), 1)), np.repeat([float(r["toxic"]) for r in rows_by], [r["count"] for r in rows_by]))
-    (_, n00, n01, n10, n11), counts = counts[0], counts[1:]
+    counted = settled(counted)
+    total = counted.where("entry = ''").first()
+    if total is None:
+        return Model({}, np.zeros((0, 1)), np.zeros(0))
+    _, n00, n01, n10, n11 = total
+    # what can be in one of the three lexicons below: few words, whatever the sample
+    given = [("n11", "n10", n11, n10), ("n01", "n00", n01, n00), ("n01 + n11", "n00 + n10", n01 + n11, n00 + n10)]
+    fits = [F.expr(f"{y} >= {LEAST_ROWS} and ln(({y} + 0.5d) / {a + 1}d) - ln(({o} + 0.5d) / {b + 1}d) >= {LEAST_ODDS - 1e-6}d") for y, o, a, b in given]
+    counts = sorted(tuple(r) for r in counted.where(fits[0] | fits[1] | fits[2]).where("entry != ''").collect())
     other_side = [
         choose([(e, c, d) for e, _, _, d, c in counts], n11, n10),  # for side 0, from side 1
         choose([(e, b, a) for e, a, b, _, _ in counts], n01, n00),
