@@ -1,18 +1,20 @@
 """Byte-level BPE encoding and decoding by Spark's higher-order functions.
 
-Encoding. A pre-token's bytes are folded: as long as some pair of neighbours has a rank, the leftmost pair of least rank is
-merged, with the ranks of pairs kept beside the pieces so that a merge looks up its two new pairs only. Ranks are a
-literal map from piece to rank, cut into buckets by hash, because a lookup in one large map literal is linear.
+Encoding. A word (pre-token) is held as a string of one character per piece, at first one per byte. A higher-order fold
+merges the leftmost pair of least rank, and all its later occurrences where that is sure to give the same, until no pair
+has a rank. Ranks of pairs are a literal map, cut into buckets by hash, because a lookup in one large map literal is
+linear.
 
-Distinct words. The fold runs over the distinct pre-tokens of a bounded sample of rows; the commonest of them, at most
-WORDS, become a literal dictionary of finished words. Words that it lacks are folded where they stand. The dictionary
-changes the speed and not the ids, and no text or word of the corpus is shuffled for encoding.
+Distinct words. The fold runs over the distinct words of a bounded sample of rows; the commonest, at most WORDS, become a
+literal dictionary from word to its ids and to the bytes that these decode to. Every text is looked up in it word by
+word, by a higher-order function. A word that it lacks (a few in a hundred) takes the same merges through a heap, in a
+batched Python function with a bounded cache: there the fold costs 38 microseconds a word and the heap 7.5, and a very
+long word would cost the fold the square of its length. The dictionary changes the speed and not the ids; neither texts
+nor words of the corpus are shuffled for encoding.
 
-Decoding looks up each id's bytes and concatenates them.
+Decoding looks up each id's bytes and concatenates the binary pieces; a dictionary word's pieces are concatenated once.
 
-Literals are session variables, so that plans name them and don't print them. Pieces are held as strings of one
-character per byte. The fold of a pre-token takes the square of its length, so texts with a run of more than LONG
-characters that could be one pre-token take the same merges through a heap, in Python.
+Literals are session variables, so that plans name them and don't print them.
 
 Defined results: a null text counts as empty (no ids); special strings are ordinary text; rows that repeat a doc_id
 give one result row each; an empty table gives no rows; other columns are ignored.
@@ -26,7 +28,7 @@ import itertools
 from collections.abc import Iterator
 
 import pandas as pd
-import regex
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,20 +36,64 @@ from pyspark.sql import functions as F
 from tideline.llm.common import once, share, texts
 from tideline.session import settled
 
-#: Fixed value: white space as Unicode has it.
-WHITE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-RANK_BUCKETS = 1 << 16
-WORDS = 1 << 18  # of the dictionary at most, some 40 MB
+PAIR_BUCKETS = 1 << 15
+WORDS = 1 << 18  # of the dictionary at most, some 30 MB
+PER_BUCKET = 4  # words, about
 SAMPLE_ROWS = 40_000  # rows that name the dictionary's words, about
-LONG = 256  # characters of a run that is folded
+LONG = 64  # characters of a dictionary word at most
 NONE = (1 << 31) - 1  # rank of a pair that has none
+CACHE = 1 << 18  # words of a Python worker's cache
+GAP = "|"  # stands for a word that the dictionary lacks
 
 _names = itertools.count()
 
 
+#: Code points that became letters or numbers after the Unicode version of Java 17 (13), as in Unicode 16.
+LATER_LETTERS = """870-887 889-88E 8B5 8C8-8C9 C5D CDD 170D 171F 1B4C 1C89-1C8A 2C2F 2C5F 9FFD-9FFF A7C0-A7C1 A7CB-A7CD A7D0-A7D1 A7D3
+A7D5-A7DC A7F2-A7F4 10570-1057A 1057C-1058A 1058C-10592 10594-10595 10597-105A1 105A3-105B1 105B3-105B9 105BB-105BC
+105C0-105F3 10780-10785 10787-107B0 107B2-107BA 10D4A-10D65 10D6F-10D85 10EC2-10EC4 10F70-10F81 11071-11072 11075
+1123F-11240 11380-11389 1138B 1138E 11390-113B5 113B7 113D1 113D3 11740-11746 11AB0-11ABF 11BC0-11BE0 11F02 11F04-11F10
+11F12-11F33 12F90-12FF0 1342F 13441-13446 13460-143FA 16100-1611D 16A70-16ABE 16D40-16D6C 18CFF 1AFF0-1AFF3 1AFF5-1AFFB
+1AFFD-1AFFE 1B11F-1B122 1B132 1B155 1DF00-1DF1E 1DF25-1DF2A 1E030-1E06D 1E290-1E2AD 1E4D0-1E4EB 1E5D0-1E5ED 1E5F0
+1E7E0-1E7E6 1E7E8-1E7EB 1E7ED-1E7EE 1E7F0-1E7FE 2A6DE-2A6DF 2B735-2B739 2EBF0-2EE5D 31350-323AF"""
+LATER_NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 11F50-11F59 16130-16139 16AC0-16AC9 16D70-16D79 1CCF0-1CCF9 1D2C0-1D2D3 1E4F0-1E4F9 1E5F1-1E5FA"
+
+
+def _with_later(name: str, ranges: str) -> str:
+    """A category with its later code points, which are asked for beyond U+086F only."""
+    later = "".join("-".join(rf"\x{{{end}}}" for end in r.split("-")) for r in ranges.split())
+    return rf"\p{{{name}}}[\x{{870}}-\x{{323AF}}&&[{later}]]"
+
+
 def jvm_pattern(pattern: str) -> str:
-    """The splitting pattern with white space as Unicode has it, for Java's matcher."""
-    return pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"(?!\S)", f"(?![^{WHITE}])").replace(r"\s", f"[{WHITE}]")
+    """The splitting pattern for Java's matcher, with white space, letters and numbers as the library has them."""
+    letters, numbers = _with_later("L", LATER_LETTERS), _with_later("N", LATER_NUMBERS)
+    others = rf"[^\s{letters}{numbers}]"
+    return "(?U)" + others.join(p.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]") for p in pattern.split(r"[^\s\p{L}\p{N}]"))
+
+
+def as_char(rank: int) -> str:
+    """A piece as one character, surrogates left out."""
+    code = rank + 0x100
+    return chr(code if code < 0xD800 else code + 0x800)
+
+
+def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
+    """Rank of what two pieces make together, for all pairs that make a piece."""
+    out = {}
+    for piece, rank in ranks.items():
+        for i in range(1, len(piece)):
+            left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
+            if left is not None and right is not None:
+                out[left, right] = rank
+    return out
+
+
+def merge_all(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: the leftmost pair of least rank first, by a heap."""
+    if word in ranks:
+        return [ranks[word]]
+    return merge_pieces(word, ranks)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,14 +106,29 @@ def _bucket(piece: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(piece), F.lit(buckets)).cast("int")
 
 
-def _literal(spark: SparkSession, df: DataFrame, kind: str) -> Column:
-    """The one value of df as a literal."""
-    name = f"tideline_literal_{next(_names)}"
-    df.createOrReplaceTempView(name)
-    spark.sql(f"DECLARE OR REPLACE VARIABLE {name} {kind}")
-    spark.sql(f"SET VAR {name} = (SELECT * FROM {name})")
-    spark.catalog.dropTempView(name)
-    return F.expr(f"system.session.{name}")
+def _word_buckets() -> int:
+    return max(1, WORDS // PER_BUCKET)
+
+
+def _literal(spark: SparkSession, df: DataFrame, names: list[str]) -> list[Column]:
+    """The columns of df's one row as literals."""
+    view = f"tideline_literals_{next(_names)}"
+    df.createOrReplaceTempView(view)
+    kinds = dict(df.dtypes)
+    for n in names:
+        spark.sql(f"DECLARE OR REPLACE VARIABLE {view}_{n} {kinds[n]}")
+        spark.sql(f"SET VAR {view}_{n} = (SELECT {n} FROM {view})")
+    spark.catalog.dropTempView(view)
+    return [F.expr(f"system.session.{view}_{n}") for n in names]
+
+
+def _map_literal(spark: SparkSession, pairs: DataFrame, buckets: int) -> Column:
+    """(k, v) rows as an array of small maps, by hash of the key; `buckets` entries in one row, whatever the corpus."""
+    full = pairs.groupBy(_bucket(F.col("k"), buckets).alias("b")).agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
+    none = F.create_map().cast(dict(full.dtypes)["m"])
+    every = spark.range(buckets).select(F.col("id").cast("int").alias("b")).join(full, "b", "left").select("b", F.map_entries(F.coalesce("m", none)).alias("m"))
+    one = every.agg(F.array_sort(F.collect_list(F.struct("b", "m"))).alias("l")).select(F.transform("l", lambda x: F.map_from_entries(x["m"])).alias("v"))
+    return _literal(spark, settled(one), ["v"])[0]
 
 
 class Codec:
@@ -75,104 +136,111 @@ class Codec:
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int], pattern: str):
         self.spark, self.ranks, self.pattern = spark, ranks, pattern
-        buckets: list[dict[str, int]] = [{} for _ in range(RANK_BUCKETS)]
-        for piece, rank in ranks.items():
-            text = piece.decode("latin-1")
-            buckets[xxhash.xxh64_intdigest(text.encode(), 42) % RANK_BUCKETS][text] = rank
-        size = max(ranks.values(), default=-1) + 1
-        pieces, codes = [""] * size, [i.to_bytes(4, "little").hex() for i in range(size)]
-        for piece, rank in ranks.items():
-            pieces[rank] = piece.hex()
-        made = lambda value, kind: _literal(spark, spark.createDataFrame([(value,)], f"v {kind}"), kind)
-        self.map, self.pieces, self.codes = made(buckets, "array<map<string, int>>"), made(pieces, "array<string>"), made(codes, "array<string>")
+        pairs = pair_ranks(ranks)
+        risky = {x for (a, b), rank in pairs.items() for x in (a, b) if x > rank}
+        # pieces that merges don't lead to; a word that is one is still one id
+        self.apart = {p.decode("latin-1"): r for p, r in ranks.items() if len(p) > 1 and merge_pieces(p, ranks) != [r]}
+        # columns by Arrow: rows of Python objects would cost the driver ten times the memory
+        listed = pa.table({"k": [as_char(a) + as_char(b) for a, b in pairs], "v": pa.array(pairs.values(), pa.int32())})
+        self.pairs = _map_literal(spark, spark.createDataFrame(listed), PAIR_BUCKETS)
+        by_rank = {r: p for p, r in ranks.items()}
+        every = range(max(by_rank, default=-1) + 1)
+        names = ["pieces", "codes", "chars", "risky"]
+        columns = [[by_rank.get(i, b"").hex() for i in every], [i.to_bytes(4, "little").hex() for i in every], [as_char(i) for i in every], [i in risky for i in every]]
+        sorted_ = F.array_sort(F.collect_list(F.struct("i", *names)))
+        lists = spark.createDataFrame(pa.table({"i": pa.array(every, pa.int32()), **dict(zip(names, columns, strict=True))})).agg(sorted_.alias("l")).select(*[F.col(f"l.{n}").alias(n) for n in names])
+        # a merge into a risky piece can make a pair of a lower rank, so only one occurrence is merged at a time
+        self.pieces, self.codes, self.chars, self.risky = _literal(spark, settled(lists), names)
+        self.bytes_from = "".join(chr(i) for i in range(256))
+        self.bytes_to = "".join(as_char(ranks[bytes([i])]) for i in range(256))
         self.dictionary: Column | None = None
 
     def words(self, text: Column) -> Column:
         """Pre-tokens of a text, in order."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(jvm_pattern(self.pattern)), F.lit(0))
 
-    def rank(self, piece: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.get(self.map, _bucket(piece, RANK_BUCKETS)), piece), F.lit(NONE))
+    def pair_rank(self, pair: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.get(self.pairs, _bucket(pair, PAIR_BUCKETS)), pair), F.lit(NONE))
 
     def fold(self, word: Column) -> Column:
-        """Ids of one pre-token by ranked merges."""
+        """Ids of one word by ranked merges."""
 
         def merge(s: Column, _: Column) -> Column:
-            def at(i: Column) -> Column:
-                def joined(m: Column) -> Column:
-                    p, r = s["p"], s["r"]
-                    left = F.when(i > 1, F.array(self.rank(F.concat(F.get(p, i - 2), m)))).otherwise(F.array().cast("array<int>"))
-                    right = F.when(i < F.size(r), F.array(self.rank(F.concat(m, F.get(p, i + 1))))).otherwise(F.array().cast("array<int>"))
-                    rest = F.size(p)
-                    return F.struct(
-                        F.concat(F.slice(p, F.lit(1), i - 1), F.array(m), F.slice(p, i + 2, rest)).alias("p"),
-                        F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, rest)).alias("r"),
-                    )
+            pieces = s["pieces"]
 
-                return once(F.concat(F.get(s["p"], i - 1), F.get(s["p"], i)), joined)
+            def ranked(r: Column) -> Column:
+                def least(m: Column) -> Column:
+                    def at(i: Column) -> Column:
+                        one = F.concat(F.substr(pieces, F.lit(1), i - 1), F.get(self.chars, m), F.substr(pieces, i + 2, F.length(pieces)))
+                        every = F.replace(pieces, F.substr(pieces, i, F.lit(2)), F.get(self.chars, m))
+                        return F.struct(F.when(F.get(self.risky, m), one).otherwise(every).alias("pieces"), F.lit(False).alias("done"))
 
-            least = lambda m: F.when(F.coalesce(m, F.lit(NONE)) == NONE, s).otherwise(once(F.array_position(s["r"], m).cast("int"), at))
-            return once(F.array_min(s["r"]), least)
+                    return F.when(m == NONE, F.struct(pieces.alias("pieces"), F.lit(True).alias("done"))).otherwise(once(F.array_position(r, m).cast("int"), at))
 
-        def pieces(w: Column) -> Column:
-            n = F.length(w)
+                return once(F.array_min(r), least)
 
-            def start(p: Column) -> Column:
-                pairs = F.zip_with(F.slice(p, F.lit(1), n - 1), F.slice(p, F.lit(2), n), lambda a, b: self.rank(F.concat(a, b)))
-                state = F.struct(p.alias("p"), pairs.alias("r"))
-                return F.aggregate(F.sequence(F.lit(1), n - 1), state, merge, lambda s: F.transform(s["p"], self.rank))
+            ranks = F.transform(F.sequence(F.lit(1), F.length(pieces) - 1), lambda i: self.pair_rank(F.substr(pieces, i, F.lit(2))))
+            return F.when(s["done"] | (F.length(pieces) < 2), s).otherwise(once(ranks, ranked))
 
-            single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(w, i, F.lit(1)))
-            return once(self.rank(w), lambda whole: F.when(whole != NONE, F.array(whole)).otherwise(once(single, start)))
+        def folded(latin: Column) -> Column:
+            start = F.struct(F.translate(latin, self.bytes_from, self.bytes_to).alias("pieces"), F.lit(False).alias("done"))
+            merged = F.aggregate(F.sequence(F.lit(1), F.length(latin)), start, merge, lambda s: s["pieces"])
+            ids = once(merged, lambda p: F.transform(F.sequence(F.lit(1), F.length(p)), lambda i: self._rank_of(F.substr(p, i, F.lit(1)))))
+            whole = None
+            for piece, rank in self.apart.items():
+                whole = (F if whole is None else whole).when(latin == piece, F.array(F.lit(rank)))
+            return ids if whole is None else whole.otherwise(ids)
 
-        return once(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), pieces)
+        return once(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), folded)
+
+    def _rank_of(self, char: Column) -> Column:
+        code = F.ascii(char)
+        return (F.when(code < 0xD800, code).otherwise(code - 0x800) - 0x100).cast("int")
 
     def learn(self, docs: DataFrame) -> None:
         """Fill the dictionary: finished words of a sample, the commonest, WORDS at most."""
         rows = docs.count()
-        sample = docs.where(share(F.col("doc_id"), min(1.0, SAMPLE_ROWS / max(rows, 1))) & ~too_long(F.col("text")))
-        counted = settled(sample.select(F.explode(self.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        sample = docs.where(share(F.col("doc_id"), min(1.0, SAMPLE_ROWS / max(rows, 1))))
+        words = sample.select(F.explode(self.words(F.col("text"))).alias("word"))
+        counted = settled(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & (F.length("word") <= LONG)))
         least, held = 2, 0
         for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("n")).toLocalIterator():  # kinds of counts: few thousand
             held += r["m"]
             if held > WORDS:
                 least = r["n"] + 1
                 break
-        done = counted.where(F.col("n") >= least).select("word", self.fold(F.col("word")).alias("ids"), _bucket(F.col("word"), WORDS).alias("b"))
-        full = done.groupBy("b").agg(F.map_from_entries(F.collect_list(F.struct("word", "ids"))).alias("m"))
-        listed = F.array_sort(F.collect_list(F.struct("b", F.map_entries("m").alias("m"))))
-        # a bucket without words is an empty map; WORDS buckets in one row, whatever the corpus
-        every = self.spark.range(WORDS).select(F.col("id").cast("int").alias("b")).join(full, "b", "left").select("b", F.coalesce("m", F.create_map().cast("map<string, array<int>>")).alias("m"))
-        one = every.agg(listed.alias("l")).select(F.transform("l", lambda x: F.map_from_entries(x["m"])).alias("v"))
-        self.dictionary = _literal(self.spark, settled(one), "array<map<string, array<int>>>")
-
-    def ids(self, text: Column) -> Column:
-        """Ids of a whole text."""
+        ids = self.fold(F.col("word"))
+        value = once(ids, lambda i: F.struct(self.joined(i, self.codes).alias("codes"), self.joined(i, self.pieces).alias("bytes")))
+        done = counted.where(F.col("n") >= least).select(F.col("word").alias("k"), value.alias("v"))
+        self.dictionary = _map_literal(self.spark, done, _word_buckets())
 
-        def one(word: Column) -> Column:
-            if self.dictionary is None:
-                return self.fold(word)
-            return F.coalesce(F.try_element_at(F.get(self.dictionary, _bucket(word, WORDS)), word), self.fold(word))
+    def close(self) -> None:
+        """Drop the variables; plans that were made with them keep their values."""
+        for c in (self.pairs, self.pieces, self.codes, self.chars, self.risky, self.dictionary):
+            if c is not None:
+                self.spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {c._jc.toString()}")
 
-        return F.flatten(F.transform(self.words(text), one))
+    def joined(self, ids: Column, table: Column) -> Column:
+        """Texts of ids by a literal table, end to end; null for an id that it lacks."""
+        return F.when(F.forall(ids, lambda i: (i >= 0) & (i < F.size(table))), F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
 
     def decoded(self, ids: Column) -> Column:
         """Bytes of a list of ids; an id that the vocabulary lacks gives null."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
+        return F.unhex(self.joined(ids, self.pieces))
 
     def packed(self, ids: Column) -> Column:
         """Ids as little-endian unsigned 32-bit integers."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.codes, i)), ""))
+        return F.unhex(self.joined(ids, self.codes))
 
+    def unpacked(self, data: Column) -> Column:
+        """Ids of `packed`, as an array."""
+        part = lambda i: F.reverse(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda j: F.hex(F.substring(data, 4 * i + j, 1))))
+        numbers = F.transform(F.sequence(F.lit(0), (F.length(data) / 4).cast("int") - 1), lambda i: F.conv(F.array_join(part(i), ""), 16, 10).cast("int"))
+        return F.when(F.length(data) == 0, F.array().cast("array<int>")).otherwise(numbers)
 
-def too_long(text: Column) -> Column:
-    return F.coalesce(F.rlike(text, F.lit(f"[^{WHITE}]{{{LONG}}}|[{WHITE}]{{{LONG}}}")), F.lit(False))
 
-
-def merge_all(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: the leftmost pair of least rank first, by a heap."""
-    if word in ranks:
-        return [ranks[word]]
+def merge_pieces(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same without asking for the whole word first."""
     n = len(word)
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the piece that starts at i
     heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
@@ -193,28 +261,58 @@ def merge_all(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if live[i]]
 
 
+def _merger(sent):
+    """A function of a batch of word lists; the cache lives as long as the worker's batches of this query."""
+    cache: dict[str, list[int]] = {}
+
+    def ids(word: str) -> list[int]:
+        found = cache.get(word)
+        if found is None:
+            found = merge_all(word.encode(), sent.value)
+            if len(word) <= LONG:
+                if len(cache) >= CACHE:
+                    cache.clear()
+                cache[word] = found
+        return found
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([[ids(w) for w in words] for words in batch])
+
+    return run
+
+
 def encode(docs: DataFrame, codec: Codec) -> DataFrame:
-    """Per document: doc_id, ids (array<int>)."""
+    """Per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and decoded (bytes of these ids)."""
     docs = texts(docs)
     codec.learn(docs)
-    short = docs.where(~too_long(F.col("text"))).select("doc_id", codec.ids(F.col("text")).alias("ids"))
-    sent = codec.spark.sparkContext.broadcast((codec.ranks, codec.pattern))
+    sent = codec.spark.sparkContext.broadcast(codec.ranks)
+    merged = F.pandas_udf(_merger(sent), "array<array<int>>")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks, pattern = sent.value
-        split = regex.compile(pattern)
-        for batch in batches:
-            ids = [[i for w in split.findall(t) for i in merge_all(w.encode(), ranks)] for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids})
+    def look_up(words: Column) -> Column:
+        found = F.transform(words, lambda w: F.try_element_at(F.get(codec.dictionary, _bucket(w, _word_buckets())), w))
+
+        def parts(known: Column) -> Column:
+            text = lambda f: F.array_join(F.transform(known, lambda k: k[f]), "", GAP).alias(f)
+            lacking = F.array_compact(F.zip_with(words, known, lambda w, k: F.when(k.isNull(), w)))
+            return F.struct(text("codes"), text("bytes"), lacking.alias("lacking"))
+
+        return once(found, parts)
+
+    def filled(text: str, table: Column) -> Column:
+        """A text of known words with its gaps filled by the words that were merged."""
+        given = F.transform("merged", lambda ids: codec.joined(ids, table))
+        return F.array_join(F.zip_with(F.split(text, f"[{GAP}]", -1), given, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
-    return short.unionByName(docs.where(too_long(F.col("text"))).mapInPandas(run, "doc_id long, ids array<int>"))
+    known = docs.select("doc_id", once(codec.words(F.col("text")), look_up).alias("k"))
+    known = known.select("doc_id", "k.codes", "k.bytes", merged("k.lacking").alias("merged"))
+    whole = known.select("doc_id", F.unhex(filled("codes", codec.codes)).alias("ids"), F.unhex(filled("bytes", codec.pieces)).alias("decoded"))
+    return whole.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     codec = Codec(docs.sparkSession, read_ranks(path), pattern)
-    return encode(docs, codec).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(codec.packed(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(codec.decoded(F.col("ids")), 256).alias("decoded_sha256"),
-    )
+    out = encode(docs, codec).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    codec.close()
+    return out
