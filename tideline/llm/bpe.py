@@ -37,7 +37,7 @@ from tideline.llm.common import once, share, texts
 from tideline.session import settled
 
 PAIR_BUCKETS = 1 << 15
-WORDS = 1 << 18  # of the dictionary at most, some 30 MB
+WORDS = 1 << 17  # of the dictionary at most, some 15 MB
 PER_BUCKET = 4  # words, about
 SAMPLE_ROWS = 40_000  # rows that name the dictionary's words, about
 LONG = 64  # characters of a dictionary word at most
