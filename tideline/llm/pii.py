@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import once
 from tideline.session import settled
 
 KINDS = ("email", "ip", "card", "phone")
@@ -69,20 +70,21 @@ def matches(text: Column, pattern: str, needs: Column | None = None) -> Column:
     none = F.array().cast(f"array<{SPAN}>")
 
     def placed(values: Column) -> Column:
-        gaps = F.split(text, pattern, -1)
-        steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), values, lambda g, v: (F.length(g) + F.length(v)).cast("long"))
-        starts = _cumulated(steps)
+        def between(gaps: Column) -> Column:
+            steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), values, lambda g, v: (F.length(g) + F.length(v)).cast("long"))
 
-        def span(i: Column) -> Column:
-            gap, value = F.get(gaps, i), F.get(values, i)
-            start = F.get(starts, i) + F.length(gap)
-            earlier = F.when(i > 0, F.concat(F.get(values, i - 1), gap)).otherwise(gap)
-            return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), F.right(F.when(F.length(gap) < 2 * CONTEXT, earlier).otherwise(gap), F.lit(2 * CONTEXT)).alias("before"))
+            def span(starts: Column, i: Column) -> Column:
+                gap, value = F.get(gaps, i), F.get(values, i)
+                start = F.get(starts, i) + F.length(gap)
+                earlier = F.when(i > 0, F.concat(F.get(values, i - 1), gap)).otherwise(gap)
+                before = F.right(F.when(F.length(gap) < 2 * CONTEXT, earlier).otherwise(gap), F.lit(2 * CONTEXT))
+                return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), before.alias("before"))
 
-        return F.transform(F.sequence(F.lit(0), F.size(values) - 1), span)
+            return once(once(steps, _cumulated), lambda starts: F.transform(F.sequence(F.lit(0), F.size(values) - 1), lambda i: span(starts, i)))
 
-    held = F.transform(F.array(found), lambda v: F.when(F.size(v) > 0, placed(v)).otherwise(none))  # found is evaluated once
-    return F.get(held, F.lit(0))
+        return once(F.split(text, pattern, -1), between)
+
+    return once(found, lambda v: F.when(F.size(v) > 0, placed(v)).otherwise(none))
 
 
 def _digits(value: Column) -> Column:
