@@ -175,6 +175,30 @@ def test_bounded_rates_match_brute_force(spark):
         assert np.allclose(goal, same) and loss(np.array(reached)) <= 1.05 * loss(brute) + 1e-5 * n.sum()
 
 
+def slow_table(spark):
+    """Toxic tokens hide in small differences of posteriors, so each round moves the totals by little."""
+    rows = [(31 - i % 2 - j, j, 1000.0 / (1 + i)) for i in range(3) for j in (0, 1, 2, 3, 24, 28)]
+    return spark.createDataFrame(rows, "s0 int, s1 int, n double").groupBy("s0", "s1").agg(F.sum("n").alias("n")).coalesce(1)
+
+
+def test_the_descent_goes_on_while_targets_can_be_met(spark):
+    for targets in ([0.50, 0.45, 0.05], [0.57, 0.39, 0.04]):
+        rated, goal, reached = mixing.fit(slow_table(spark), targets, None, None)
+        assert np.abs(np.array(reached) - goal).max() <= mixing.TOLERANCE * sum(goal)
+        # the rates make these totals
+        rows = rated.join(slow_table(spark), ["s0", "s1"]).collect()
+        p = np.array([(r.s0 / 32, r.s1 / 32, 1 - (r.s0 + r.s1) / 32) for r in rows])
+        assert np.allclose([r.rate * r.n for r in rows] @ p, reached)
+
+
+def test_targets_out_of_reach_are_logged(spark, caplog):
+    frame = slow_table(spark)
+    mixing.fit(frame, [0.57, 0.39, 0.04], None, None)
+    assert not caplog.records
+    _, goal, reached = mixing.fit(frame, [0.1, 0.1, 0.8], 1.0, None)
+    assert reached[2] < 0.5 * goal[2] and "misses its targets" in caplog.text and "no rates come closer" in caplog.text
+
+
 def test_mixing_edges(spark, edge_docs, no_docs, labels):
     for marks in (labels, labels.where("false")):
         rows = mixing.rates(edge_docs, marks).collect()

@@ -7,8 +7,11 @@ momentum finds rates, nonnegative and at most `upper`, whose totals T[k] fit the
 1 / (tokens of k), starting from rate 1 and moving each rate in the metric of its document's tokens.
 
 In that metric a rate depends on p alone. Posteriors are stated in steps of 1/32, so documents are first summed by
-posterior into a table of at most some hundred rows, whatever the corpus, and each gradient is a Spark aggregate over it;
-the driver sees the K totals of a round and nothing else. Everything is DataFrame and SQL functions.
+posterior into a table of at most some hundred rows, whatever the corpus. The rounds are a fold over that table, a hundred
+to a job; the driver sees the K totals and nothing else. Everything is DataFrame and SQL functions.
+
+The descent ends when every total is within TOLERANCE of the budget from its target, or when the projected gradient
+vanishes, as no rates come closer to the targets then; targets that are missed are logged as a warning.
 
 Defined results: a null text counts as empty (0 tokens, the posterior of its features); a document without tokens has
 rate 1 like any other of its posterior; without labelled rows the posterior is uniform; null labels are ignored, and a
@@ -18,7 +21,7 @@ rows; other columns are ignored or, in `mixed`, kept.
 
 from __future__ import annotations
 
-import json
+import logging
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -31,7 +34,10 @@ DOMAINS = ("clean", "poor", "toxic")
 TARGETS = (0.88, 0.06, 0.06)
 STEPS = 32  # of a posterior
 BINS = 12  # of a feature
-ROUNDS, TOLERANCE = 50, 1e-3
+TOLERANCE = 1e-3  # of the budget, by which a total may miss its target
+STILL = 1e-7  # of the budget: tokens by which the projected gradient moves where no rates come closer
+ROUNDS, ROUNDS_AT_ONCE = 100_000, 100  # a descent that long is cut off with a warning; rounds of one job
+_log = logging.getLogger(__name__)
 SPACE = r"[^\x20\x09-\x0D]+"
 
 
@@ -105,55 +111,71 @@ def _steps(logs: Column) -> Column:
     return once(logs, lambda given: once(F.array_max(given), lambda top: once(F.transform(given, lambda x: F.exp(x - top)), split)))
 
 
-def _rate(p: list[Column], rounds: list[tuple[float, list[float]]], upper: float | None) -> Column:
-    """The rate after the given rounds of (momentum, step by domain), from rate 1, folded per row.
+def _descended(state: Column, goal: list[float], pull: list[float], upper: float | None, close: float, still: float) -> Column:
+    """The state after ROUNDS_AT_ONCE rounds, or fewer where it ends; pull: the gradient of a rate by a domain's excess tokens.
 
-    A rate is followed through all rounds by its own recurrence: y = r + momentum * (r - previous), then one step of
-    the gradient at y, then the projection.
+    A state has rows (s0, s1, n, p0 to p2, r, before), t of the momentum, totals and those before, rounds, and the end:
+    1 where all totals are within `close` of the goal, 2 where the projected gradient moves at most `still` tokens.
     """
-    if not rounds:
-        return F.lit(1.0)
-    told = [{"m": m, **{f"g{k}": x for k, x in enumerate(g)}} for m, g in rounds]
-    history = F.from_json(F.lit(json.dumps(told)), "array<struct<m: double, g0: double, g1: double, g2: double>>")
+    kept = lambda r: F.greatest(F.lit(0.0), r if upper is None else F.least(r, F.lit(float(upper))))
+    total = lambda rows, f: F.aggregate(rows, F.lit(0.0), lambda a, x: a + f(x))
+    pulled = lambda x, by: x["p0"] * by["g0"] + x["p1"] * by["g1"] + x["p2"] * by["g2"]
+    excess = lambda at: [((at(k) - F.lit(goal[k])) * F.lit(pull[k])).alias(f"g{k}") for k in range(3)]
+
+    def step(s: Column) -> Column:
+        later = (1 + F.sqrt(1 + 4 * s["t"] * s["t"])) / 2
+
+        def turn(m: Column) -> Column:
+            # the gradient is taken at the extrapolated rates: totals of r + momentum * (r - previous)
+            return F.struct(m.alias("m"), *excess(lambda k: s[f"now{k}"] + m * (s[f"now{k}"] - s[f"old{k}"])))
+
+        def move(h: Column) -> Column:
+            r = lambda x: kept(x["r"] + h["m"] * (x["r"] - x["before"]) - pulled(x, h))
+            return F.transform(s["rows"], lambda x: F.struct(*[x[c].alias(c) for c in ("s0", "s1", "n", "p0", "p1", "p2")], r(x).alias("r"), x["r"].alias("before")))
+
+        def close_off(rows: Column) -> Column:
+            def end(now: Column) -> Column:
+                met = F.greatest(*[F.abs(now[f"now{k}"] - F.lit(goal[k])) for k in range(3)]) <= close
+                moved = once(F.struct(*excess(lambda k: now[f"now{k}"])), lambda g: total(rows, lambda x: x["n"] * F.abs(x["r"] - kept(x["r"] - pulled(x, g)))))
+                ended = F.when(met, 1).when(moved <= still, 2).otherwise(0)
+                return F.struct(rows.alias("rows"), later.alias("t"), *[now[f"now{k}"].alias(f"now{k}") for k in range(3)], *[s[f"now{k}"].alias(f"old{k}") for k in range(3)], (s["rounds"] + 1).alias("rounds"), ended.alias("ended"))
+
+            return once(F.struct(*[total(rows, lambda x, k=k: x["n"] * x["r"] * x[f"p{k}"]).alias(f"now{k}") for k in range(3)]), end)
 
-    def step(state: Column, h: Column) -> Column:
-        moved = state["r"] + h["m"] * (state["r"] - state["before"]) - sum((p[k] * h[f"g{k}"] for k in range(len(p))), F.lit(0.0))
-        kept = F.greatest(F.lit(0.0), moved)
-        return F.struct((F.least(kept, F.lit(float(upper))) if upper is not None else kept).alias("r"), state["r"].alias("before"))
+        return once(once(once((s["t"] - 1) / later, turn), move), close_off)
 
-    return F.aggregate(history, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("before")), step, lambda s: s["r"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS_AT_ONCE)), state, lambda s, _: F.when(s["ended"] == 0, step(s)).otherwise(s))
 
 
-def fit(by_posterior: DataFrame, targets: list[float], upper: float | None, budget: float | None) -> tuple[list[tuple[float, list[float]]], list[float], list[float]]:
-    """Rounds that make the rates, the targets in tokens, and the totals reached; by_posterior: s0, s1, n (tokens)."""
+def fit(by_posterior: DataFrame, targets: list[float], upper: float | None, budget: float | None) -> tuple[DataFrame, list[float], list[float]]:
+    """(s0, s1, rate) per posterior, the targets in tokens, and the totals reached; by_posterior: s0, s1, n (tokens)."""
     p = _shares()
     sums = [F.sum(F.col("n") * x) for x in p]
     pairs = [F.sum(F.col("n") * p[i] * p[j]) for i in range(3) for j in range(3)]
     row = [float(x or 0) for x in by_posterior.agg(*sums, *pairs).first()]
     have = np.array(row[:3])
     if have.sum() == 0:
-        return [], [0.0] * 3, [0.0] * 3
+        return by_posterior.select("s0", "s1", F.lit(1.0).alias("rate")), [0.0] * 3, [0.0] * 3
     want = np.array(targets) / sum(targets)
     if budget is None:
         budget = have.sum()
     goal = want * budget
     weight = 1 / np.maximum(have, have.sum() * 1e-6)
     size = np.linalg.eigvalsh(np.sqrt(weight)[:, None] * np.array(row[3:]).reshape(3, 3) * np.sqrt(weight)[None, :])[-1]
-    rounds: list[tuple[float, list[float]]] = []
-    t, reached, before = 1.0, have, None
-    for _ in range(ROUNDS):
-        later = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        momentum = (t - 1) / later if rounds else 0.0
-        # the gradient is taken at the extrapolated rates: totals of r + momentum * (r - previous)
-        at = reached if before is None else reached + momentum * (reached - before)
-        gradient = weight * (at - goal) / size
-        rounds.append((momentum, gradient.tolist()))
-        rated = by_posterior.select("s0", "s1", (F.col("n") * _rate(p, rounds, upper)).alias("n"))
-        before, reached = reached, np.array([float(x) for x in rated.agg(*sums).first()])
-        t = later
-        if np.abs(reached - goal).max() <= TOLERANCE * budget or np.abs(reached - before).max() <= TOLERANCE / 4 * budget:
+    # the whole table is one row's array, sorted so that sums have one order
+    one = F.struct("s0", "s1", F.col("n").cast("double").alias("n"), *[x.alias(f"p{k}") for k, x in enumerate(p)], F.lit(1.0).alias("r"), F.lit(1.0).alias("before"))
+    totals = [F.lit(float(x)).alias(f"{c}{k}") for c in ("now", "old") for k, x in enumerate(have)]
+    state = by_posterior.agg(F.sort_array(F.collect_list(one)).alias("rows"))
+    state = state.select(F.struct("rows", F.lit(1.0).alias("t"), *totals, F.lit(0).alias("rounds"), F.lit(0).alias("ended")).alias("s"))
+    while True:
+        state = settled(state.select(_descended(F.col("s"), goal.tolist(), (weight / size).tolist(), upper, TOLERANCE * budget, STILL * budget).alias("s")))
+        *reached, rounds, ended = state.select("s.now0", "s.now1", "s.now2", "s.rounds", "s.ended").first()
+        if ended or rounds >= ROUNDS:
             break
-    return rounds, goal.tolist(), reached.tolist()
+    if ended != 1:
+        why = "no rates come closer" if ended else "the descent was cut off"
+        _log.warning("mixing misses its targets after %d rounds (%s): %s of the budget reached, %s wanted", rounds, why, (np.array(reached) / budget).round(4).tolist(), want.round(4).tolist())
+    return state.select(F.explode("s.rows").alias("x")).select("x.s0", "x.s1", F.col("x.r").alias("rate")), goal.tolist(), list(reached)
 
 
 def _shares() -> list[Column]:
@@ -172,8 +194,8 @@ def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, by_
     budget = None
     if by_first:
         budget = float(by_posterior.agg(F.sum(F.col("n") * _shares()[0])).first()[0] or 0) / targets[0] * sum(targets)
-    rounds, _, _ = fit(by_posterior, list(targets), upper, budget)
-    return members, settled(by_posterior.select("s0", "s1", _rate(_shares(), rounds, upper).alias("rate"))), weights
+    rated, _, _ = fit(by_posterior, list(targets), upper, budget)
+    return members, settled(rated), weights
 
 
 def draw(doc_id: Column) -> Column:
