@@ -138,3 +138,22 @@ def test_keep_one_handles_nulls_and_repeats(spark):
     kept = simhash.keep_one(documents(spark, [(*r, 1) for r in rows], ", fp long"))
     assert isinstance(kept.schema, T.StructType) and kept.columns[-1] == "fp"
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None"]
+
+
+def test_keep_one_takes_each_components_own_row(spark):
+    """Rows without doc_id in different components all stay; of a repeated doc_id the representative's text stays."""
+    text = lambda x: " ".join(f"{x}{i}" for i in range(40))
+    unnamed = [(None, text(f"n{i}x")) for i in range(4)] + [(None, text("n0x"))]
+    # 100 + i has a text of its own and, before or after it, the text of document i
+    repeated = [[(100 + i, text(f"own{i}x")), (100 + i, text(f"first{i}x"))][:: 1 if i % 2 else -1] for i in range(6)]
+    rows = [*unnamed, *[r for two in repeated for r in two], *[(i, text(f"first{i}x")) for i in range(6)]]
+    kept = simhash.keep_one(documents(spark, rows).coalesce(1)).collect()
+    want = [(None, text(f"n{i}x")) for i in range(4)] + [(i, text(f"first{i}x")) for i in range(6)] + [(100 + i, text(f"own{i}x")) for i in range(6)]
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(i), t) for i, t in want)
+
+
+def test_keep_one_keeps_one_row_of_a_component(spark):
+    """A doc_id repeated with two texts that are near copies is one component, so one row."""
+    words = [f"w{i}" for i in range(300)]
+    near = next(t for k in range(300) if 0 < (simhash.simhash(t := " ".join([*words[:k], "Changed", *words[k + 1 :]])) ^ simhash.simhash(" ".join(words))).bit_count() <= 3)
+    assert simhash.keep_one(documents(spark, [(3, " ".join(words)), (3, near), (4, " ".join(words))])).count() == 1

@@ -56,12 +56,17 @@ def simhash(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         values = np.fromiter(map(simhash, batch["text"]), np.uint64, len(batch)).view(np.int64)
-        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": values})
+        yield batch.drop(columns="text").assign(doc_id=batch["doc_id"].astype("Int64"), fp=values)
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) per row; fp as a signed 64-bit number."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(_fingerprints, "doc_id long, fp long")
+def _digest():
+    return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+
+
+def fingerprints(docs: DataFrame, digests: bool = False) -> DataFrame:
+    """(doc_id, fp) per row, with the text's SHA-256 as digest if asked for; fp as a signed 64-bit number."""
+    more, kind = ([_digest().alias("digest")], ", digest binary") if digests else ([], "")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more).mapInPandas(_fingerprints, "doc_id long, fp long" + kind)
 
 
 def _ball() -> list[tuple[int, ...]]:
@@ -138,28 +143,32 @@ def _little_endian(fp):
     return F.concat(*[F.substring(digits, 15 - 2 * i, 2) for i in range(8)])
 
 
-def _membership(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) per row of docs."""
-    prints = settled(fingerprints(docs))
-    classes = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+def _rooted(prints: DataFrame, least) -> DataFrame:
+    """(fp, least, root) per distinct fingerprint; least: an aggregate over the rows of one."""
+    classes = settled(prints.groupBy("fp").agg(least.alias("least")))
     roots = connected_components(links(classes.select("fp")))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    rooted = settled(rooted)
-    smallest = settled(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
-    by_class = settled(rooted.join(smallest, "root").select("fp", "component_id"))
-    return prints.join(by_class, "fp")
+    return settled(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, fingerprint (16 lowercase hex digits), component_id (smallest doc_id reachable)."""
-    return _membership(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    prints = settled(fingerprints(docs))
+    rooted = _rooted(prints, F.min("doc_id"))
+    smallest = settled(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    by_class = settled(rooted.join(smallest, "root").select("fp", "component_id"))
+    return prints.join(by_class, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs with the smallest doc_id of their component, all columns; of rows that repeat that doc_id, one."""
-    key, at = (fresh(docs.columns, x) for x in ("_id_key", "_row"))
+    """One row of docs per component, all columns: that of the smallest doc_id, a null one last, and of rows that repeat
+    it that of the least digest of the text."""
+    key, hashed, at = (fresh(docs.columns, x) for x in ("_id_key", "_digest", "_row"))
     as_key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    stay = _membership(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(as_key(F.col("doc_id")).alias(key))
-    left = docs.withColumn(key, as_key(F.col("doc_id"))).join(stay, key, "left_semi")
-    one = Window.partitionBy(key).orderBy(F.lit(1))
+    prints = settled(fingerprints(docs, True))
+    rooted = _rooted(prints, F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")))
+    first = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    stay = settled(first.select(as_key(F.col("first.doc_id")).alias(key), F.col("first.digest").alias(hashed)))
+    # rows equal in doc_id and text share a component, so each pair of key and digest stands for one component
+    left = docs.withColumns({key: as_key(F.col("doc_id").cast("long")), hashed: _digest()}).join(stay, [key, hashed], "left_semi")
+    one = Window.partitionBy(key, hashed).orderBy(F.lit(1))
     return left.withColumn(at, F.row_number().over(one)).where(F.col(at) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
