@@ -174,3 +174,57 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert mixing.TARGETS[0] > 0.5 and toxicity.SAMPLE_ROWS > 0
     encoded = corpus_pipeline.STAGES[4][1](spark, given, folder).collect()
     assert {r.doc_id: r.decoded_sha256 for r in encoded} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in left.items()}
+
+
+def test_mixing_stage_against_brute_force(spark, tmp_path):
+    """The kept rows follow from posteriors, rates and draws in plain numpy, one rate per document."""
+    import re
+
+    import numpy as np
+    import xxhash
+
+    from tideline.llm import mixing
+
+    draw = random.Random(12)
+    bare = lambda: " ".join(f"w{draw.randint(0, 200)}" for _ in range(draw.randint(10, 90)))
+    loud = lambda t: " ".join(w.upper() + "!" * draw.randint(0, 2) for w in t.split())
+    rows = [(i, loud(bare()) if i % 3 == 0 else bare(), "en", "s", 1) for i in range(300)]
+    marks = [(i, int(i % 3 != 0), int(i % 9 == 0)) for i in range(0, 300, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.mixing_stage(spark, docs, str(tmp_path)).collect()}
+
+    def bin_(v, least, most):
+        return 0 if v <= 0 else int(min(11, max(1, np.floor((np.log(max(v, 1e-9)) - np.log(least)) / ((np.log(most) - np.log(least)) / 10)) + 2)))
+
+    def bins(t):
+        chars, words, count = len(t), len(t.split()), lambda p: len(re.findall(p, t))
+        return [
+            bin_(t.count("!") / words, 1e-3, 1.0), bin_(count(r"[*$%&#@=+<>{}\[\]|~^]") / words, 1e-3, 1.0), bin_(count("[A-Z]") / chars, 1e-3, 0.5), bin_(count("[0-9]") / chars, 1e-4, 0.3),
+            bin_(count("[.,;:?]") / words, 1e-2, 1.0), 0, bin_(chars / words, 2.0, 16.0), bin_(words, 4.0, 8192.0),
+        ]
+
+    of = {i: bins(t) for i, t, *_ in rows}
+    count = np.ones((8, 12, 3))
+    for i, quality, toxic in marks:
+        for f, b in enumerate(of[i]):
+            count[f, b, 2 if toxic else 0 if quality else 1] += 1
+    total = count.sum(axis=1)
+    logs = np.array([np.log(total[0] / total[0].sum()) + sum(np.log(count[f, b] / total[f]) for f, b in enumerate(of[i])) for i, *_ in rows])
+    odds = np.exp(logs - logs.max(axis=1, keepdims=True))
+    share = np.floor(odds / odds.sum(axis=1, keepdims=True) * 32 + 0.5)
+    s0, s1 = share[:, 0], np.minimum(share[:, 1], 32 - share[:, 0])
+    p, n = np.stack([s0, s1, 32 - s0 - s1], axis=1) / 32, np.array([float(len(t.split())) for _, t, *_ in rows])
+    have, want = n @ p, np.array(mixing.TARGETS)
+    goal = want / want[0] * have[0]
+    weight = 1 / np.maximum(have, have.sum() * 1e-6)
+    size = np.linalg.eigvalsh(np.sqrt(weight)[:, None] * ((p.T * n) @ p) * np.sqrt(weight)[None, :])[-1]
+    pull, clip = (lambda r: p @ (weight * ((n * r) @ p - goal) / size)), (lambda r: np.clip(r, 0, 1))
+    rate = before = np.ones(len(n))
+    t = 1.0
+    while np.abs((n * rate) @ p - goal).max() > 1e-3 * goal.sum() and n @ np.abs(rate - clip(rate - pull(rate))) > 1e-7 * goal.sum() or t == 1.0:
+        later = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        at = rate + (t - 1) / later * (rate - before)
+        rate, before, t = clip(at - pull(at)), rate, later
+    number = lambda i: xxhash.xxh64_intdigest(b"mixing", xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42)) % (1 << 30) / (1 << 30)
+    assert kept == {i for (i, *_), r in zip(rows, rate, strict=True) if number(i) < r} and 10 < len(kept) < 290
