@@ -1,18 +1,16 @@
-"""Byte-level BPE encoding and decoding by Spark's higher-order functions.
+"""Byte-level BPE encoding and decoding; words are merged by folds of Spark's higher-order functions.
 
-Encoding. A word (pre-token) is held as a string of one character per piece, at first one per byte. A higher-order fold
-merges the leftmost pair of least rank, and all its later occurrences where that is sure to give the same, until no pair
-has a rank. Ranks of pairs are a literal map, cut into buckets by hash, because a lookup in one large map literal is
-linear.
+Encoding. A word (pre-token) is held as an array of byte strings, at first one per byte. A higher-order fold joins the
+leftmost neighbours whose joined bytes have the least rank, until no two have one; what is left are the ids. The ranks
+are a literal map from bytes to rank, cut into buckets by hash, because a lookup in one large map literal is linear.
 
-Distinct words. The fold runs over the distinct words of a bounded sample of rows; the commonest, at most WORDS, become a
-literal dictionary from word to its ids and to the bytes that these decode to. Every text is looked up in it word by
-word, by a higher-order function. A word that it lacks (a few in a hundred) takes the same merges through a heap, in a
-batched Python function with a bounded cache: there the fold costs 38 microseconds a word and the heap 7.5, and a very
-long word would cost the fold the square of its length. The dictionary changes the speed and not the ids; neither texts
-nor words of the corpus are shuffled for encoding.
+Distinct words. The fold runs over distinct words, counted in a bounded sample of rows; the commonest, at most WORDS, are
+sent to the workers as a dictionary from word to ids. Every whole text is split there and looked up word by word. A word
+that the dictionary lacks takes the same merges through a heap, with a bounded cache: to bring folded words back to
+their texts would shuffle all texts or ids, and a very long word would cost the fold the square of its length (figures
+in the README). The dictionary changes the speed and not the ids; neither texts nor words are shuffled for encoding.
 
-Decoding looks up each id's bytes and concatenates the binary pieces; a dictionary word's pieces are concatenated once.
+Decoding looks up each id's bytes and concatenates the binary pieces.
 
 Literals are session variables, so that plans name them and don't print them.
 
@@ -25,27 +23,28 @@ from __future__ import annotations
 import base64
 import heapq
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import once, share, texts
+from tideline.llm.common import commonest, drawn, once, texts
 from tideline.session import settled
 
-PAIR_BUCKETS = 1 << 15
-WORDS = 1 << 17  # of the dictionary at most, some 15 MB
-PER_BUCKET = 4  # words, about
+BUCKETS = 1 << 15  # of the literal rank map
+WORDS = 1 << 18  # of the dictionary at most, some 10 MB
 SAMPLE_ROWS = 40_000  # rows that name the dictionary's words, about
-LONG = 64  # characters of a dictionary word at most
-NONE = (1 << 31) - 1  # rank of a pair that has none
-CACHE = 1 << 18  # words of a Python worker's cache
-GAP = "|"  # stands for a word that the dictionary lacks
+LONG = 64  # characters of a dictionary word, or of a cached one, at most
+NONE = (1 << 31) - 1  # rank of bytes that have none
+CACHE = 1 << 18  # words of a worker's cache besides the dictionary
+AT_ONCE = 1 << 22  # characters of the texts that a worker gives back at once, about
 
 _names = itertools.count()
+_workers: dict = {}
 
 
 #: Code points that became letters or numbers after the Unicode version of Java 17 (13), as in Unicode 16.
@@ -59,6 +58,25 @@ A7D5-A7DC A7F2-A7F4 10570-1057A 1057C-1058A 1058C-10592 10594-10595 10597-105A1
 LATER_NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 11F50-11F59 16130-16139 16AC0-16AC9 16D70-16D79 1CCF0-1CCF9 1D2C0-1D2D3 1E4F0-1E4F9 1E5F1-1E5FA"
 
 
+#: Code points that the workers' matcher counts as letters or numbers (Unicode 17) and the library doesn't yet.
+NEWER_LETTERS = """558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959
+10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 187F8-187FF 18CD6-18CDA 18D09-18D20
+18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE
+1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"""
+NEWER_NUMBERS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """Pre-tokens of a text as the library has them; texts with a newer letter or number take a pattern that leaves it out."""
+    as_set = lambda ranges: "[" + "".join("-".join(rf"\U{int(end, 16):08X}" for end in r.split("-")) for r in ranges.split()) + "]"
+    letters, numbers = as_set(NEWER_LETTERS), as_set(NEWER_NUMBERS)
+    newer = as_set(f"{NEWER_LETTERS} {NEWER_NUMBERS}")
+    parts = [p.replace(r"\p{L}", rf"(?:(?!{letters})\p{{L}})").replace(r"\p{N}", rf"(?:(?!{numbers})\p{{N}})") for p in pattern.split(r"[^\s\p{L}\p{N}]")]
+    exact = regex.compile(rf"(?:[^\s\p{{L}}\p{{N}}]|{newer})".join(parts)).findall
+    plain, found = regex.compile(pattern).findall, regex.compile(newer).search
+    return lambda text: plain(text) if text.isascii() or not found(text) else exact(text)
+
+
 def _with_later(name: str, ranges: str) -> str:
     """A category with its later code points, which are asked for beyond U+086F only."""
     later = "".join("-".join(rf"\x{{{end}}}" for end in r.split("-")) for r in ranges.split())
@@ -72,23 +90,6 @@ def jvm_pattern(pattern: str) -> str:
     return "(?U)" + others.join(p.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]") for p in pattern.split(r"[^\s\p{L}\p{N}]"))
 
 
-def as_char(rank: int) -> str:
-    """A piece as one character, surrogates left out."""
-    code = rank + 0x100
-    return chr(code if code < 0xD800 else code + 0x800)
-
-
-def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
-    """Rank of what two pieces make together, for all pairs that make a piece."""
-    out = {}
-    for piece, rank in ranks.items():
-        for i in range(1, len(piece)):
-            left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
-            if left is not None and right is not None:
-                out[left, right] = rank
-    return out
-
-
 def merge_all(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word: the leftmost pair of least rank first, by a heap."""
     if word in ranks:
@@ -106,10 +107,6 @@ def _bucket(piece: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(piece), F.lit(buckets)).cast("int")
 
 
-def _word_buckets() -> int:
-    return max(1, WORDS // PER_BUCKET)
-
-
 def _literal(spark: SparkSession, df: DataFrame, names: list[str]) -> list[Column]:
     """The columns of df's one row as literals."""
     view = f"tideline_literals_{next(_names)}"
@@ -132,105 +129,79 @@ def _map_literal(spark: SparkSession, pairs: DataFrame, buckets: int) -> Column:
 
 
 class Codec:
-    """Literals of a vocabulary, and the expressions over them."""
+    """A vocabulary's literals, and the expressions over them."""
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int], pattern: str):
         self.spark, self.ranks, self.pattern = spark, ranks, pattern
-        pairs = pair_ranks(ranks)
-        risky = {x for (a, b), rank in pairs.items() for x in (a, b) if x > rank}
-        # pieces that merges don't lead to; a word that is one is still one id
-        self.apart = {p.decode("latin-1"): r for p, r in ranks.items() if len(p) > 1 and merge_pieces(p, ranks) != [r]}
         # columns by Arrow: rows of Python objects would cost the driver ten times the memory
-        listed = pa.table({"k": [as_char(a) + as_char(b) for a, b in pairs], "v": pa.array(pairs.values(), pa.int32())})
-        self.pairs = _map_literal(spark, spark.createDataFrame(listed), PAIR_BUCKETS)
-        by_rank = {r: p for p, r in ranks.items()}
-        every = range(max(by_rank, default=-1) + 1)
-        names = ["pieces", "codes", "chars", "risky"]
-        columns = [[by_rank.get(i, b"").hex() for i in every], [i.to_bytes(4, "little").hex() for i in every], [as_char(i) for i in every], [i in risky for i in every]]
-        sorted_ = F.array_sort(F.collect_list(F.struct("i", *names)))
-        lists = spark.createDataFrame(pa.table({"i": pa.array(every, pa.int32()), **dict(zip(names, columns, strict=True))})).agg(sorted_.alias("l")).select(*[F.col(f"l.{n}").alias(n) for n in names])
-        # a merge into a risky piece can make a pair of a lower rank, so only one occurrence is merged at a time
-        self.pieces, self.codes, self.chars, self.risky = _literal(spark, settled(lists), names)
-        self.bytes_from = "".join(chr(i) for i in range(256))
-        self.bytes_to = "".join(as_char(ranks[bytes([i])]) for i in range(256))
-        self.dictionary: Column | None = None
+        listed = pa.table({"k": pa.array(ranks, pa.binary()), "v": pa.array(ranks.values(), pa.int32())})
+        self.buckets = _map_literal(spark, spark.createDataFrame(listed), BUCKETS)
+        self.by_rank: Column | None = None
 
     def words(self, text: Column) -> Column:
         """Pre-tokens of a text, in order."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(jvm_pattern(self.pattern)), F.lit(0))
 
-    def pair_rank(self, pair: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.get(self.pairs, _bucket(pair, PAIR_BUCKETS)), pair), F.lit(NONE))
+    def rank(self, piece: Column) -> Column:
+        """The rank of some bytes, NONE where the vocabulary lacks them."""
+        return F.coalesce(F.try_element_at(F.get(self.buckets, _bucket(piece, BUCKETS)), piece), F.lit(NONE))
 
     def fold(self, word: Column) -> Column:
-        """Ids of one word by ranked merges."""
+        """Ids of one word by ranked merges over its bytes."""
 
         def merge(s: Column, _: Column) -> Column:
             pieces = s["pieces"]
+            state = lambda p, done: F.struct(p.alias("pieces"), F.lit(done).alias("done"))
+
+            def joined(ranks: Column) -> Column:
+                def at(i: Column) -> Column:
+                    pair = F.array(F.concat(F.get(pieces, i - 1), F.get(pieces, i)))
+                    return state(F.concat(F.slice(pieces, F.lit(1), i - 1), pair, F.slice(pieces, i + 2, F.size(pieces))), False)
 
-            def ranked(r: Column) -> Column:
-                def least(m: Column) -> Column:
-                    def at(i: Column) -> Column:
-                        one = F.concat(F.substr(pieces, F.lit(1), i - 1), F.get(self.chars, m), F.substr(pieces, i + 2, F.length(pieces)))
-                        every = F.replace(pieces, F.substr(pieces, i, F.lit(2)), F.get(self.chars, m))
-                        return F.struct(F.when(F.get(self.risky, m), one).otherwise(every).alias("pieces"), F.lit(False).alias("done"))
-
-                    return F.when(m == NONE, F.struct(pieces.alias("pieces"), F.lit(True).alias("done"))).otherwise(once(F.array_position(r, m).cast("int"), at))
-
-                return once(F.array_min(r), least)
-
-            ranks = F.transform(F.sequence(F.lit(1), F.length(pieces) - 1), lambda i: self.pair_rank(F.substr(pieces, i, F.lit(2))))
-            return F.when(s["done"] | (F.length(pieces) < 2), s).otherwise(once(ranks, ranked))
-
-        def folded(latin: Column) -> Column:
-            start = F.struct(F.translate(latin, self.bytes_from, self.bytes_to).alias("pieces"), F.lit(False).alias("done"))
-            merged = F.aggregate(F.sequence(F.lit(1), F.length(latin)), start, merge, lambda s: s["pieces"])
-            ids = once(merged, lambda p: F.transform(F.sequence(F.lit(1), F.length(p)), lambda i: self._rank_of(F.substr(p, i, F.lit(1)))))
-            whole = None
-            for piece, rank in self.apart.items():
-                whole = (F if whole is None else whole).when(latin == piece, F.array(F.lit(rank)))
-            return ids if whole is None else whole.otherwise(ids)
-
-        return once(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), folded)
-
-    def _rank_of(self, char: Column) -> Column:
-        code = F.ascii(char)
-        return (F.when(code < 0xD800, code).otherwise(code - 0x800) - 0x100).cast("int")
-
-    def learn(self, docs: DataFrame) -> None:
-        """Fill the dictionary: finished words of a sample, the commonest, WORDS at most."""
-        rows = docs.count()
-        sample = docs.where(share(F.col("doc_id"), min(1.0, SAMPLE_ROWS / max(rows, 1))))
-        words = sample.select(F.explode(self.words(F.col("text"))).alias("word"))
-        counted = settled(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & (F.length("word") <= LONG)))
-        least, held = 2, 0
-        for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("n")).toLocalIterator():  # kinds of counts: few thousand
-            held += r["m"]
-            if held > WORDS:
-                least = r["n"] + 1
-                break
-        ids = self.fold(F.col("word"))
-        value = once(ids, lambda i: F.struct(self.joined(i, self.codes).alias("codes"), self.joined(i, self.pieces).alias("bytes")))
-        done = counted.where(F.col("n") >= least).select(F.col("word").alias("k"), value.alias("v"))
-        self.dictionary = _map_literal(self.spark, done, _word_buckets())
+                return once(F.array_min(ranks), lambda least: F.when(least == NONE, state(pieces, True)).otherwise(once(F.array_position(ranks, least).cast("int"), at)))
+
+            pairs = F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: self.rank(F.concat(F.get(pieces, i - 1), F.get(pieces, i))))
+            return F.when(s["done"] | (F.size(pieces) < 2), s).otherwise(once(pairs, joined))
+
+        def folded(data: Column) -> Column:
+            bytes_ = F.transform(F.sequence(F.lit(1), F.length(data)), lambda i: F.substring(data, i, F.lit(1)))
+            start = F.struct(bytes_.alias("pieces"), F.lit(False).alias("done"))
+            merged = F.aggregate(F.sequence(F.lit(1), F.length(data)), start, merge, lambda s: F.transform(s["pieces"], self.rank))
+            # a whole word of the vocabulary is one id, even where merges don't lead to it
+            return once(self.rank(data), lambda whole: F.when(whole != NONE, F.array(whole)).otherwise(merged))
+
+        return once(F.encode(word, "UTF-8"), folded)
+
+    def learn(self, docs: DataFrame) -> pa.Table:
+        """The dictionary: (word, ids) of the commonest words of a sample by the fold, WORDS at most; ids as `packed`."""
+        words = drawn(docs, SAMPLE_ROWS).select(F.explode(self.words(F.col("text"))).alias("word")).where(F.length("word") <= LONG)
+        counted = settled(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+        # rows are dealt anew, as those of few words may lie in few partitions
+        few = commonest(counted, "n", WORDS).select("word").repartition(F.col("word"))
+        return few.select("word", self.packed(self.fold(F.col("word"))).alias("ids")).toArrow()
 
     def close(self) -> None:
         """Drop the variables; plans that were made with them keep their values."""
-        for c in (self.pairs, self.pieces, self.codes, self.chars, self.risky, self.dictionary):
+        for c in (self.buckets, self.by_rank):
             if c is not None:
                 self.spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {c._jc.toString()}")
 
-    def joined(self, ids: Column, table: Column) -> Column:
-        """Texts of ids by a literal table, end to end; null for an id that it lacks."""
-        return F.when(F.forall(ids, lambda i: (i >= 0) & (i < F.size(table))), F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
-
     def decoded(self, ids: Column) -> Column:
         """Bytes of a list of ids; an id that the vocabulary lacks gives null."""
-        return F.unhex(self.joined(ids, self.pieces))
+        if self.by_rank is None:
+            pieces = {r: p for p, r in self.ranks.items()}
+            every = pa.array(range(max(pieces, default=-1) + 1), pa.int32())
+            table = pa.table({"i": every, "p": pa.array([pieces.get(i, b"").hex() for i in range(len(every))], pa.string())})
+            one = self.spark.createDataFrame(table).agg(F.array_sort(F.collect_list(F.struct("i", "p"))).alias("l")).select(F.col("l.p").alias("v"))
+            self.by_rank = _literal(self.spark, settled(one), ["v"])[0]
+        known = F.forall(ids, lambda i: (i >= 0) & (i < F.size(self.by_rank)))
+        return F.when(known, F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.by_rank, i)), "")))
 
     def packed(self, ids: Column) -> Column:
         """Ids as little-endian unsigned 32-bit integers."""
-        return F.unhex(self.joined(ids, self.codes))
+        digits = lambda i: F.lpad(F.hex(i), 8, "0")
+        code = lambda d: F.concat(*[F.substring(d, 7 - 2 * k, 2) for k in range(4)])
+        return F.unhex(F.array_join(F.transform(ids, lambda i: once(digits(i), code)), ""))
 
     def unpacked(self, data: Column) -> Column:
         """Ids of `packed`, as an array."""
@@ -261,53 +232,51 @@ def merge_pieces(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if live[i]]
 
 
-def _merger(sent):
-    """A function of a batch of word lists; the cache lives as long as the worker's batches of this query."""
-    cache: dict[str, list[int]] = {}
+class Words(dict):
+    """Ids of words, packed: those of the dictionary, then those met, until the cache is full and starts anew."""
 
-    def ids(word: str) -> list[int]:
-        found = cache.get(word)
-        if found is None:
-            found = merge_all(word.encode(), sent.value)
-            if len(word) <= LONG:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                cache[word] = found
-        return found
+    def __init__(self, known: pa.Table, ranks: dict[bytes, int]):
+        super().__init__(zip(known["word"].to_pylist(), known["ids"].to_pylist(), strict=True))
+        self.known, self.ranks, self.most = known, ranks, len(self) + CACHE
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([[ids(w) for w in words] for words in batch])
-
-    return run
+    def __missing__(self, word: str) -> bytes:
+        ids = np.array(merge_all(word.encode(), self.ranks), "<u4").tobytes()
+        if len(word) <= LONG:
+            if len(self) >= self.most:
+                self.clear()
+                self.update(zip(self.known["word"].to_pylist(), self.known["ids"].to_pylist(), strict=True))
+            self[word] = ids
+        return ids
 
 
 def encode(docs: DataFrame, codec: Codec) -> DataFrame:
     """Per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and decoded (bytes of these ids)."""
     docs = texts(docs)
-    codec.learn(docs)
-    sent = codec.spark.sparkContext.broadcast(codec.ranks)
-    merged = F.pandas_udf(_merger(sent), "array<array<int>>")
-
-    def look_up(words: Column) -> Column:
-        found = F.transform(words, lambda w: F.try_element_at(F.get(codec.dictionary, _bucket(w, _word_buckets())), w))
-
-        def parts(known: Column) -> Column:
-            text = lambda f: F.array_join(F.transform(known, lambda k: k[f]), "", GAP).alias(f)
-            lacking = F.array_compact(F.zip_with(words, known, lambda w, k: F.when(k.isNull(), w)))
-            return F.struct(text("codes"), text("bytes"), lacking.alias("lacking"))
+    pattern = codec.pattern
+    # WORDS entries of LONG characters at most, and the vocabulary: a bounded broadcast
+    sent = codec.spark.sparkContext.broadcast((codec.ranks, codec.learn(docs)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = id(sent.value)
+        if key not in _workers:  # it lives as long as the worker works on this query
+            _workers.clear()
+            ranks, known = sent.value
+            _workers[key] = (sent.value, Words(known, ranks), {r: p for p, r in ranks.items()})
+        _, words, pieces = _workers[key]
+        split = splitter(pattern)
+
+        def result(rows: pd.DataFrame) -> pd.DataFrame:
+            ids = [b"".join([words[w] for w in split(t)]) for t in rows["text"]]
+            decoded = [b"".join([pieces[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in ids]
+            return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": decoded})
 
-        return once(found, parts)
-
-    def filled(text: str, table: Column) -> Column:
-        """A text of known words with its gaps filled by the words that were merged."""
-        given = F.transform("merged", lambda ids: codec.joined(ids, table))
-        return F.array_join(F.zip_with(F.split(text, f"[{GAP}]", -1), given, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+        for batch in batches:
+            batch["text"] = batch["text"].fillna("")
+            part = (batch["text"].str.len().cumsum() // AT_ONCE).to_numpy()
+            for p in np.unique(part):
+                yield result(batch[part == p])
 
-    known = docs.select("doc_id", once(codec.words(F.col("text")), look_up).alias("k"))
-    known = known.select("doc_id", "k.codes", "k.bytes", merged("k.lacking").alias("merged"))
-    whole = known.select("doc_id", F.unhex(filled("codes", codec.codes)).alias("ids"), F.unhex(filled("bytes", codec.pieces)).alias("decoded"))
-    return whole.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
+    return docs.mapInPandas(run, "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
