@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import once
-from tideline.session import fresh, settled
+from tideline.session import settled
 
 DOMAINS = ("clean", "poor", "toxic")
 TARGETS = (0.88, 0.06, 0.06)
@@ -183,8 +183,8 @@ def _shares() -> list[Column]:
     return [first, second, F.lit(1.0) - first - second]
 
 
-def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, by_first: bool) -> tuple[DataFrame, DataFrame, list]:
-    """(doc_id, n_tokens, s0, s1) per row, (s0, s1, rate) per posterior, and the classifier."""
+def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, by_first: bool) -> tuple[DataFrame, DataFrame, list, list]:
+    """(doc_id, n_tokens, s0, s1) per row, (s0, s1, rate) per posterior, the classifier, and the totals reached as shares of the budget."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     known = settled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), tokens(text).alias("n_tokens"), features(text).alias("bins")))
     weights = _classifier(known, labels)
@@ -194,8 +194,8 @@ def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, by_
     budget = None
     if by_first:
         budget = float(by_posterior.agg(F.sum(F.col("n") * _shares()[0])).first()[0] or 0) / targets[0] * sum(targets)
-    rated, _, _ = fit(by_posterior, list(targets), upper, budget)
-    return members, settled(rated), weights
+    rated, goal, reached = fit(by_posterior, list(targets), upper, budget)
+    return members, settled(rated), weights, [x / sum(goal) if sum(goal) else 0.0 for x in reached]
 
 
 def draw(doc_id: Column) -> Column:
@@ -204,29 +204,30 @@ def draw(doc_id: Column) -> Column:
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
-    """Per document: doc_id, n_tokens, p_clean, p_poor, p_toxic, rate, copies.
+    """Per document: doc_id, n_tokens, p_clean, p_poor, p_toxic, rate, copies, and reached_clean, reached_poor, reached_toxic:
+    the totals that the rates reach, as shares of the budget, the same in all rows.
 
     The totals aim at the targets' shares of the corpus's own tokens. copies is the rate rounded up or down by a hash of
     doc_id, so that it is the rate on average.
     """
-    members, rated, _ = _rated(docs, labels, targets, None, False)
+    members, rated, _, reached = _rated(docs, labels, targets, None, False)
     p = _shares()
     # rated has at most some hundred rows whatever the input, so a broadcast of it is bounded
     return members.join(F.broadcast(rated), ["s0", "s1"]).select(
         "doc_id", "n_tokens", *[x.alias(f"p_{d}") for x, d in zip(p, DOMAINS, strict=True)], "rate",
         (F.floor("rate") + (draw(F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("long")).cast("long").alias("copies"),
+        *[F.lit(float(x)).alias(f"reached_{d}") for x, d in zip(reached, DOMAINS, strict=True)],
     )
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
     """The rows of docs that a mix keeps, all columns: rates of at most 1, so that no document is repeated, at the budget
     that needs all of the first domain; a row stays if its draw is below its rate."""
-    _, rated, weights = _rated(docs, labels, targets, 1.0, True)
-    steps, s0, s1, rate = (fresh(docs.columns, x) for x in ("_steps", "_s0", "_s1", "_rate"))
+    _, rated, weights, _ = _rated(docs, labels, targets, 1.0, True)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    placed = docs.withColumn(steps, once(features(text), lambda b: _steps(_posterior(b, weights))))
-    placed = placed.withColumns({s0: F.col(steps)["s0"], s1: F.col(steps)["s1"]})
-    named = rated.select(F.col("s0").alias(s0), F.col("s1").alias(s1), F.col("rate").alias(rate))
-    # named has at most some hundred rows whatever the input, so a broadcast of it is bounded
-    kept = placed.join(F.broadcast(named), [s0, s1]).where(draw(F.col("doc_id")) < F.col(rate))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # at most some hundred rates whatever the input, as one array; one expression, so a text's features are made once
+    at = lambda s: s["s0"] * (STEPS + 1) + s["s1"]
+    found = {at(r): r["rate"] for r in rated.collect()}
+    by_place = F.lit([found.get(i, 0.0) for i in range((STEPS + 1) ** 2)])
+    rate = once(features(text), lambda b: once(_steps(_posterior(b, weights)), lambda s: F.get(by_place, at(s))))
+    return docs.where(draw(F.col("doc_id")) < rate)
