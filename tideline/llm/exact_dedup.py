@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import first_by
 from tideline.session import fresh, settled
 
 SHARD_ROWS = 4096  # digests of a shard, about; its index row takes some 200 kB
@@ -172,10 +173,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, all columns; of rows equal in doc_id and text, one."""
-    key, hashed, at = (fresh(docs.columns, x) for x in ("_id_key", "_digest", "_row"))
+    """The rows of docs that stay, all columns; of rows equal in doc_id and text, the first by a hash of all
+    columns, as common.first_by."""
+    key, hashed = (fresh(docs.columns, x) for x in ("_id_key", "_digest"))
     as_key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     stay = _marked(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(as_key(F.col("doc_id")).alias(key), F.col("digest").alias(hashed))
     known = docs.withColumns({key: as_key(F.col("doc_id")), hashed: digest(F.col("text"))}).join(stay, [key, hashed], "left_semi")
-    one = Window.partitionBy(key, hashed).orderBy(F.lit(1))
-    return known.withColumn(at, F.row_number().over(one)).where(F.col(at) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return first_by(known, [key, hashed], docs.columns)

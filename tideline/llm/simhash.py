@@ -20,9 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import first_by
 from tideline.llm.components import connected_components
 from tideline.session import fresh, settled
 
@@ -87,6 +88,18 @@ def _code(parts):
     return code
 
 
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the sets of a[i] and b[i] for all i; label names each node's set by its least node, before and after."""
+    while True:
+        x, y = label[a], label[b]
+        differ = x != y
+        if not differ.any():
+            return
+        np.minimum.at(label, np.maximum(x, y)[differ], np.minimum(x, y)[differ])
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
 def _links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Spanning forest of the links between a sub-tile and what it meets, and within itself."""
     own = np.frombuffer(rows["fps"][rows["own"]].iloc[0], np.uint64) if rows["own"].any() else np.empty(0, np.uint64)
@@ -98,10 +111,9 @@ def _links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     step = max(1, AT_ONCE // max(1, len(every)))
     for start in range(0, len(own), step):
         near = np.bitwise_count(own[start : start + step, None] ^ every[None, :]) <= RADIUS
-        for i in np.flatnonzero(near.sum(axis=1) > 1):
-            same = np.unique(label[at[near[i]]])
-            if len(same) > 1:
-                label[np.isin(label, same)] = same[0]
+        rows_ = np.flatnonzero(near.sum(axis=1) > 1)
+        i, j = np.nonzero(near[rows_])
+        _unite(label, at[start + rows_[i]], at[j])
     linked = np.flatnonzero(label != np.arange(len(nodes)))
     return pd.DataFrame({"a": nodes[linked], "b": nodes[label[linked]]})
 
@@ -161,8 +173,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of docs per component, all columns: that of the smallest doc_id, a null one last, and of rows that repeat
-    it that of the least digest of the text."""
-    key, hashed, at = (fresh(docs.columns, x) for x in ("_id_key", "_digest", "_row"))
+    it that of the least digest of the text; of rows equal in both the first by a hash of all columns, as common.first_by."""
+    key, hashed = (fresh(docs.columns, x) for x in ("_id_key", "_digest"))
     as_key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     prints = settled(fingerprints(docs, True))
     rooted = _rooted(prints, F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")))
@@ -170,5 +182,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     stay = settled(first.select(as_key(F.col("first.doc_id")).alias(key), F.col("first.digest").alias(hashed)))
     # rows equal in doc_id and text share a component, so each pair of key and digest stands for one component
     left = docs.withColumns({key: as_key(F.col("doc_id").cast("long")), hashed: _digest()}).join(stay, [key, hashed], "left_semi")
-    one = Window.partitionBy(key, hashed).orderBy(F.lit(1))
-    return left.withColumn(at, F.row_number().over(one)).where(F.col(at) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return first_by(left, [key, hashed], docs.columns)
