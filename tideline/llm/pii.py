@@ -1,16 +1,18 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction on top of them. DataFrame and SQL functions only.
 
 Base spans are the matches of four patterns (email, ip, card, phone) that pass their checks. They seed a graph of lexical
-patterns and instances: a pattern is the token left of a value, an instance is a value that looks like an identifier.
-Rounds of scoring pass confidence from instances to the patterns that hold them (a pattern's confidence is the scored
-share of all that follows it, over all documents) and back (an instance is as sure as its patterns make it). Patterns
-that end with enough distinct instances and confidence then mark the values after them that no base span covers, with the
-kind that they learned. A common word before an address is followed by too much else to become a pattern.
+patterns and instances: a pattern is the token left or right of a value, an instance is a value that looks like an
+identifier. A pattern's confidence in a kind is the scored share of all that stands beside it, over all documents. A
+pattern with enough sure instances and confidence holds; it marks the instances beside it, as sure as the patterns that
+hold them make them, and these induce further patterns in the next round, until no round finds a pattern. Held patterns
+then mark the values beside them that no base span covers. A common word before an address stands before too much else
+to become a pattern.
 
 Defined results: a null text counts as empty; positions are code points, ends exclusive; of spans with the same start the
-kind listed first comes first; a token left of a value counts by its last 64 characters; rows that repeat a doc_id
-give one result row each, those of one doc_id and text being counted once in the graph's scores; an empty table gives no rows; other
-columns are ignored.
+kind listed first comes first; where patterns of several kinds mark a value the most confident names its kind, and on
+ties the kind that is last by name; a token of more than CONTEXT characters is no pattern; rows that repeat a doc_id give
+one result row each, those of one doc_id and text being counted once in the graph's scores; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,16 +38,17 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: What looks like an identifier where no base pattern holds: digits with separators, and masked addresses.
 LOOSE = {
     "number": r"(?<![A-Za-z0-9])[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+(?![A-Za-z0-9])",
-    "address": r"[A-Za-z0-9._%+-]{1,64}(?:\x20?(?:\(at\)|\[at\])\x20?|@)[A-Za-z0-9-]{1,64}",
+    "address": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:\x20?(?:\(at\)|\[at\])\x20?|@)[A-Za-z0-9-]++",
 }
-CONTEXT = 64
-LEAST_SEEDS = 4  # distinct instances of a pattern
-CONFIDENCE = 0.7  # of a pattern
-ROUNDS = 3
+CONTEXT = 64  # characters of a pattern's token at most
+LEAST_SEEDS = 4  # distinct sure instances of a pattern
+CONFIDENCE = 0.7  # of a pattern that holds, and of a sure instance
+ROUNDS = 12  # of induction at most; it mostly ends after two or three, when a round finds nothing new
+SIDES = ("left", "right")
 CHUNK = 256
 BROADCAST_ROWS = 100_000  # patterns that are broadcast at most, some 10 MB
 
-SPAN = "struct<start: bigint, end: bigint, value: string, before: string>"
+SPAN = "struct<start: bigint, end: bigint, value: string, before: string, after: string>"
 
 
 def _cumulated(steps: Column) -> Column:
@@ -63,7 +66,7 @@ def _cumulated(steps: Column) -> Column:
 
 
 def matches(text: Column, pattern: str, needs: Column | None = None) -> Column:
-    """All leftmost non-overlapping matches as SPAN: positions, the value, and the text before it (at most 2 * CONTEXT)."""
+    """All leftmost non-overlapping matches as SPAN: positions, the value, and the text before and after it (at most 2 * CONTEXT)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     if needs is not None:
         found = F.when(needs, found).otherwise(F.array().cast("array<string>"))
@@ -78,7 +81,9 @@ def matches(text: Column, pattern: str, needs: Column | None = None) -> Column:
                 start = F.get(starts, i) + F.length(gap)
                 earlier = F.when(i > 0, F.concat(F.get(values, i - 1), gap)).otherwise(gap)
                 before = F.right(F.when(F.length(gap) < 2 * CONTEXT, earlier).otherwise(gap), F.lit(2 * CONTEXT))
-                return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), before.alias("before"))
+                later = F.get(gaps, i + 1)
+                after = F.left(F.when(F.length(later) < 2 * CONTEXT, F.concat(later, F.coalesce(F.get(values, i + 1), F.lit("")))).otherwise(later), F.lit(2 * CONTEXT))
+                return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), before.alias("before"), after.alias("after"))
 
             return once(once(steps, _cumulated), lambda starts: F.transform(F.sequence(F.lit(0), F.size(values) - 1), lambda i: span(starts, i)))
 
@@ -116,11 +121,11 @@ CHECKS = {
 
 
 def _base(text: Column) -> Column:
-    """Base spans of all kinds as (start, rank of the kind, kind, end, value, before)."""
+    """Base spans of all kinds as (start, rank of the kind, kind, end, value, before, after)."""
     def kind(rank: int, name: str) -> Column:
         needs = F.contains(text, F.lit(NEEDS[name])) if NEEDS[name] else None
         good = F.filter(matches(text, BASE[name], needs), lambda s: CHECKS[name](s["value"]))
-        return F.transform(good, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(name).alias("kind"), s["end"].alias("end"), s["value"].alias("value"), s["before"].alias("before")))
+        return F.transform(good, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(name).alias("kind"), s["end"].alias("end"), s["value"].alias("value"), s["before"].alias("before"), s["after"].alias("after")))
 
     return F.concat(*[kind(i, k) for i, k in enumerate(KINDS)])
 
@@ -129,17 +134,25 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def _context(before: Column) -> Column:
-    """The last token before a value, lower case; empty at a text's start."""
-    return F.right(F.lower(F.regexp_extract(before, r"([^\s]{1,128})\s*$", 1)), F.lit(CONTEXT))
+def _context(span: Column, side: str) -> Column:
+    """The token on that side of a value, lower case; empty at a text's end, or where the token is too long."""
+    if side == "left":
+        return F.lower(F.regexp_extract(span["before"], rf"(?<!\S)(\S{{1,{CONTEXT}}})\s*$", 1))
+    return F.lower(F.regexp_extract(span["after"], rf"^\s*(\S{{1,{CONTEXT}}})(?!\S)", 1))
+
+
+def _beside(spans: DataFrame, *more: Column) -> DataFrame:
+    """side, context and more of spans s, a row for each side that has a token."""
+    sides = F.array(*[F.struct(F.lit(x).alias("side"), _context(F.col("s"), x).alias("context")) for x in SIDES])
+    return spans.select(F.explode(sides).alias("c"), *more).select("c.side", "c.context", *[F.col(n) for n in spans.select(*more).columns]).where("context != ''")
 
 
 def _candidates(text: Column, base: Column) -> Column:
-    """What looks like an identifier and no base span covers: start, end, value, before, shape."""
+    """What looks like an identifier and no base span covers: start, end, value, before, after, shape."""
     def shape(name: str) -> Column:
         needs = F.contains(text, F.lit("at")) | F.contains(text, F.lit("@")) if name == "address" else None
         free = F.filter(matches(text, LOOSE[name], needs), lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-        return F.transform(free, lambda c: F.struct(c["start"], c["end"], c["value"], c["before"], F.lit(name).alias("shape")))
+        return F.transform(free, lambda c: F.struct(c["start"], c["end"], c["value"], c["before"], c["after"], F.lit(name).alias("shape")))
 
     return F.concat(*[shape(n) for n in LOOSE])
 
@@ -156,54 +169,60 @@ def _read(docs: DataFrame) -> DataFrame:
     return settled(read.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("hashed"), "base", "free"))
 
 
-def _followers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(context, followed): how often each context of patterns is followed by another token, over all texts."""
+def _neighbours(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """(side, context, stands): how often each context of `named` has a token on its other side, over all texts."""
     text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
     tokens = F.filter(F.split(text, r"\s+", -1), lambda w: w != "")
-    words = docs.select(F.explode(F.when(F.size(tokens) > 1, F.slice(tokens, F.lit(1), F.size(tokens) - 1))).alias("word"))
-    words = words.select(F.when(F.length("word") > CONTEXT, F.right("word", F.lit(CONTEXT))).otherwise(F.col("word")).alias("context"))
-    named = patterns.select("context").distinct()
-    if named.count() <= BROADCAST_ROWS:
-        return words.join(F.broadcast(named), "context").groupBy("context").agg(F.count(F.lit(1)).alias("followed"))
-    return words.groupBy("context").agg(F.count(F.lit(1)).alias("followed")).join(named, "context", "left_semi")
+    words = docs.select(tokens.alias("t")).select(F.size("t").alias("of"), F.posexplode("t").alias("at", "context")).where(F.length("context") <= CONTEXT)
+    counts = [F.count(F.when(F.col("at") < F.col("of") - 1, 1)).alias("left"), F.count(F.when(F.col("at") > 0, 1)).alias("right")]
+    asked = named.select("context").distinct()
+    if asked.count() <= BROADCAST_ROWS:
+        counted = words.join(F.broadcast(asked), "context").groupBy("context").agg(*counts)
+    else:
+        counted = words.groupBy("context").agg(*counts).join(asked, "context", "left_semi")
+    return counted.unpivot("context", list(SIDES), "side", "stands")
 
 
 def learn(docs: DataFrame, read: DataFrame) -> DataFrame:
-    """(context, kind, confidence) of the patterns that hold."""
-    once = read.select("doc_id", "hashed", "base", "free").dropDuplicates(["doc_id", "hashed"])
-    seeds = once.select(F.explode("base").alias("s")).select(_context(F.col("s.before")).alias("context"), "s.kind", F.lower("s.value").alias("value"), F.lit(1.0).alias("known"))
-    loose = once.select(F.explode("free").alias("s")).select(_context(F.col("s.before")).alias("context"), F.col("s.shape").alias("kind"), F.lower("s.value").alias("value"), F.lit(0.0).alias("known"))
-    edges = seeds.unionByName(loose).where("context != ''")
-    edges = settled(edges.groupBy("context", "kind", "value").agg(F.max("known").alias("known"), F.count(F.lit(1)).alias("n")))
-    seeded = edges.where("known = 1").groupBy("context", "kind").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= LEAST_SEEDS)
-    best = settled(seeded.groupBy("context").agg(F.max(F.struct("seeds", "kind")).alias("b")).select("context", F.col("b.kind").alias("kind")))
-    followed = _followers(docs, best)
-    # the graph: patterns with a kind, and the instances after them that have the kind or its shape
-    graph = edges.withColumnRenamed("kind", "was").join(best, "context").where((F.col("was") == F.col("kind")) | (F.col("was") == _shape(F.col("kind"))))
-    graph = settled(graph.select("context", "kind", "value", "known", "n"))
-    totals = graph.groupBy("context", "kind").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("values"))
-    totals = settled(totals.join(followed, "context").select("context", "kind", "values", (F.col("followed") - F.col("held")).alias("other")))
-    scored = graph.withColumn("score", F.col("known"))
+    """(side, context, shape, kind, confidence) of the patterns that hold."""
+    distinct = read.select("doc_id", "hashed", "base", "free").dropDuplicates(["doc_id", "hashed"])
+    value = F.lower("s.value").alias("value")
+    seeds = _beside(distinct.select(F.explode("base").alias("s")), _shape(F.col("s.kind")).alias("shape"), value, F.col("s.kind").alias("known"))
+    loose = _beside(distinct.select(F.explode("free").alias("s")), F.col("s.shape").alias("shape"), value, F.lit(None).cast("string").alias("known"))
+    edges = settled(seeds.unionByName(loose).groupBy("side", "context", "shape", "value").agg(F.max("known").alias("known"), F.count(F.lit(1)).alias("n")))
+    place = ["side", "context", "shape"]
+    held = edges.groupBy(*place).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values")).where(F.col("values") >= LEAST_SEEDS)
+    held = settled(held)
+    totals = held.join(_neighbours(docs, held), ["side", "context"], "left")
+    # all that a pattern stands beside: its values, and one for each occurrence of anything else
+    totals = settled(totals.select(*place, (F.col("values") + F.greatest(F.coalesce("stands", F.lit(0)) - F.col("n"), F.lit(0)) + 1).alias("all")))
+    graph = settled(edges.join(totals.select(*place), place, "left_semi").select(*place, "value"))
+    known = settled(edges.where("known is not null").select("shape", "value", F.col("known").alias("kind"), F.lit(1.0).alias("score")).distinct())
+    scores, before, patterns = known, -1, None
     for _ in range(ROUNDS):
-        held = scored.groupBy("context", "kind").agg(F.sum("score").alias("sure"))
-        # seeds and sure instances against all that follows, one occurrence of anything else counting as an instance
-        patterns = settled(held.join(totals, ["context", "kind"]).select("context", "kind", (F.col("sure") / (F.col("values") + F.greatest(F.col("other"), F.lit(0)) + 1)).alias("confidence"), "values"))
-        sure = graph.join(patterns, ["context", "kind"]).groupBy("kind", "value").agg((1 - F.exp(F.sum(F.ln(1 - F.least(F.col("confidence"), F.lit(0.999)))))).alias("by_pattern"))
-        scored = settled(graph.join(settled(sure), ["kind", "value"]).withColumn("score", F.greatest("known", "by_pattern")).drop("by_pattern"))
-    return patterns.where((F.col("confidence") >= CONFIDENCE) & (F.col("values") >= LEAST_SEEDS)).select("context", "kind", "confidence")
+        sure = graph.join(scores, ["shape", "value"]).groupBy(*place, "kind").agg(F.sum("score").alias("sure"), F.count(F.when(F.col("score") >= CONFIDENCE, 1)).alias("seeds"))
+        rated = sure.join(totals, place).select(*place, "kind", (F.col("sure") / F.col("all")).alias("confidence"), "seeds").where((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= LEAST_SEEDS))
+        best = rated.groupBy(*place).agg(F.max(F.struct("confidence", "kind")).alias("b"))
+        patterns = settled(best.select(*place, "b.kind", "b.confidence"))
+        if (found := patterns.count()) == before:
+            break
+        before = found
+        doubt = F.exp(F.sum(F.ln(1 - F.least(F.col("confidence"), F.lit(0.999)))))
+        marked = graph.join(patterns, place).groupBy("shape", "value", "kind").agg((1 - doubt).alias("score"))
+        scores = settled(known.unionByName(marked).groupBy("shape", "value", "kind").agg(F.max("score").alias("score")))
+    return patterns
 
 
 def find(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (base and learned)."""
     read = _read(docs)
     patterns = settled(learn(docs, read))
-    free = read.select("row", F.explode("free").alias("s")).withColumn("context", _context(F.col("s.before")))
+    free = _beside(read.select("row", F.explode("free").alias("s")), F.col("row"), F.col("s.shape").alias("shape"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
     held = F.broadcast(patterns) if patterns.count() <= BROADCAST_ROWS else patterns
     rank = reduce(lambda c, x: c.when(F.col("kind") == x[1], x[0]), list(enumerate(KINDS))[1:], F.when(F.col("kind") == KINDS[0], 0))
-    more = free.join(held, "context").where(F.col("s.shape") == _shape(F.col("kind")))
-    more = more.select("row", F.struct(F.col("s.start"), rank.alias("rank"), "kind", F.col("s.end")).alias("span"))
-    # of learned spans that overlap in a text, the first stays; their number is that of its own values
-    more = settled(more.groupBy("row").agg(F.array_sort(F.collect_set("span")).alias("more")))
+    marked = free.join(held, ["side", "context", "shape"]).groupBy("row", "start", "end").agg(F.max(F.struct("confidence", "kind")).alias("b")).select("row", "start", "end", "b.kind")
+    # a text's learned spans are no more than its own values
+    more = settled(marked.select("row", F.struct("start", rank.alias("rank"), "kind", "end").alias("span")).groupBy("row").agg(F.collect_list("span").alias("more")))
     plain = F.transform("base", lambda s: F.struct(s["start"], s["rank"], s["kind"], s["end"]))
     empty = F.array().cast("array<struct<start: bigint, rank: int, kind: string, end: bigint>>")
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
