@@ -3,10 +3,12 @@
 Per language a byte context tree of orders 0 to 3 holds symbol counts, frozen after learning. A symbol seen n times in a
 context with T symbols of D kinds costs -log2(n / (T + D)) bits; one not seen there costs the escape -log2(D / (T + D))
 and is coded in the next shorter context, in the end uniformly over 256 bytes. A context that a language never saw is
-passed over at no cost. As the statistics are frozen, the cost of each (context, byte, language) is tabled once, and a
-text's exact code length is a sum of table entries over all of its bytes. The language of the least code length wins.
+passed over at no cost. As the statistics are frozen, the cost of each gram (context and byte) that any language has is
+tabled once for all languages, escapes included; a text's exact code length is a sum of such costs over all of its
+bytes. Nothing is pruned. The language of the least code length wins.
 
-Learning takes a bounded sample of rows per language; scoring takes every byte of every text. A-Z count as a-z.
+Learning takes a bounded sample of rows per language; scoring takes every byte of every text. A-Z count as a-z. More than
+MOST_LANGUAGES names of languages are an error, as the model is held in memory.
 
 Defined results: `und` and score 0 for a null text, one without a letter, or where nothing could be learned; ties go to
 the first name; rows that repeat a doc_id give one result row each; an empty table gives no rows; other columns are
@@ -24,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import fold, share, texts
+from tideline.session import settled
 
 ORDER = 3
 SAMPLE_ROWS = 500  # rows of each language to learn from, about
-LEAST = 2  # occurrences of an order-3 context that is kept
-CELLS = 1 << 23  # of the cost table at most
-AT_ONCE = 1 << 20  # bytes scored by one numpy call
+LEAST = 1  # occurrences of a gram that is kept: all are
+MOST_LANGUAGES = 1000  # more names in `lang` are an error
+AT_ONCE = 1 << 18  # bytes scored by one numpy call
 
 _letter = regex.compile(r"\p{L}")
 _start = b" " * ORDER
@@ -53,68 +56,70 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Model:
-    """Costs by state and symbol; a state is the longest known context of up to ORDER bytes."""
+    """By order: the codes of grams that any language has with their costs by language, and of contexts with their escapes.
+
+    Its size is that of the sample's different grams times the languages, 4 bytes each.
+    """
 
     def __init__(self, counts: pd.DataFrame):
         """counts: lang, k, code, n; code holds the symbol in its lowest byte and the context above it."""
         self.langs = sorted(counts["lang"].unique())
-        if not self.langs:
-            return
-        self.symbols = np.zeros(256, np.int64)  # 0: a byte never seen
-        zero = counts[counts["k"] == 0]
-        seen = np.unique(zero["code"].to_numpy(np.int64))
-        self.symbols[seen] = np.arange(1, len(seen) + 1)
-        self.size = size = len(seen) + 1
-        n_langs = len(self.langs)
+        self.grams, self.costs, self.contexts, self.escapes = [], [], [], []
         lang = counts["lang"].map({x: i for i, x in enumerate(self.langs)}).to_numpy(np.int64)
         k, code, n = (counts[c].to_numpy(np.int64) for c in ("k", "code", "n"))
-        context, symbol = code >> 8, self.symbols[code & 255]
-        # the commonest contexts of the highest order, as many as the table has room for
-        known: list[np.ndarray] = []
-        room = CELLS // (size * max(1, n_langs))
-        for order in range(ORDER + 1):
-            of, where = np.unique(context[k == order], return_inverse=True)
-            weight = np.bincount(where, n[k == order])
-            if order == ORDER:
-                of, weight = of[weight >= LEAST], weight[weight >= LEAST]
-            left = max(0, room - sum(map(len, known))) if order > 1 else len(of)
-            known.append(np.sort(of[np.argsort(-weight, kind="stable")[:left]]))
-        first = np.cumsum([0, *map(len, known)])
-        costs = np.zeros((int(first[-1]), size, n_langs), np.float32)
-        for order in range(ORDER + 1):
-            mine = (k == order) & np.isin(context, known[order])
-            row = np.searchsorted(known[order], context[mine])
-            m = len(known[order])
-            count = np.zeros((m, size, n_langs), np.float64)
-            np.add.at(count, (row, symbol[mine], lang[mine]), n[mine])
-            if order:
-                shorter = known[order] & ((1 << 8 * (order - 1)) - 1)
-                back = np.searchsorted(known[order - 1], shorter)
-                back = np.minimum(back, max(0, len(known[order - 1]) - 1))
-                lower = costs[first[order - 1] + back]
-            else:
-                lower = np.full((m, size, n_langs), 8.0)
-            total, kinds = count.sum(axis=1, keepdims=True), (count > 0).sum(axis=1, keepdims=True)
+        for order in range(ORDER + 1 if self.langs else 0):
+            mine = k == order
+            grams, gram = np.unique(code[mine], return_inverse=True)
+            contexts, context = np.unique(grams >> 8, return_inverse=True)
+            count = np.zeros((len(grams), len(self.langs)))
+            np.add.at(count, (gram, lang[mine]), n[mine])
+            total, kinds = (np.zeros((len(contexts), len(self.langs))) for _ in range(2))
+            np.add.at(total, context, count)
+            np.add.at(kinds, context, count > 0)
             with np.errstate(divide="ignore", invalid="ignore"):
                 escape = np.where(total > 0, np.log2((total + kinds) / kinds), 0)
-                costs[first[order] : first[order + 1]] = np.where(count > 0, np.log2((total + kinds) / count), escape + lower)
-        self.costs = costs.reshape(-1, n_langs)
-        states = np.zeros((size,) * ORDER, np.int32)
-        for order in range(1, ORDER + 1):
-            at = tuple(self.symbols[(known[order] >> 8 * (order - 1 - i)) & 255] for i in range(order))
-            states[(..., *at)] = first[order] + np.arange(len(known[order]))
-        self.states = states.reshape(-1)
+                seen = np.log2((total + kinds)[context] / count)
+            cost = np.where(count > 0, seen, escape[context] + self._costs(grams.astype(np.uint32), order - 1))
+            self.grams.append(grams.astype(np.uint32))
+            self.costs.append(cost.astype(np.float32))
+            self.contexts.append(contexts.astype(np.uint32))
+            self.escapes.append(escape.astype(np.float32))
+
+    @staticmethod
+    def _find(sorted_: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each code is, and whether it is there at all."""
+        at = np.minimum(np.searchsorted(sorted_, asked), max(0, len(sorted_) - 1))
+        return at, (sorted_[at] == asked) if len(sorted_) else np.zeros(len(asked), bool)
+
+    def _steps(self, codes: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(which of the codes, what they cost by language), from the order down; what no order has costs 8 bits."""
+        left = np.arange(len(codes))
+        for k in range(order, -1, -1):
+            code = codes[left] & np.uint32((1 << 8 * (k + 1)) - 1)
+            at, there = self._find(self.grams[k], code)
+            yield left[there], self.costs[k][at[there]]
+            left, code = left[~there], code[~there]
+            at, there = self._find(self.contexts[k], code >> np.uint32(8))
+            yield left[there], self.escapes[k][at[there]]
+        yield left, np.full((len(left), len(self.langs)), 8, np.float32)
+
+    def _costs(self, codes: np.ndarray, order: int) -> np.ndarray:
+        out = np.zeros((len(codes), len(self.langs)))
+        for which, cost in self._steps(codes, order):
+            out[which] += cost
+        return out
 
     def bits(self, text: str) -> np.ndarray:
         """Code length of the whole text by language."""
-        data = self.symbols[np.frombuffer(_start + text.encode().lower(), np.uint8)]
+        data = np.frombuffer(_start + text.encode().lower(), np.uint8)
         total = np.zeros(len(self.langs))
         for start in range(0, len(data) - ORDER, AT_ONCE):
-            part = data[start : start + AT_ONCE + ORDER]
-            at = part[:-ORDER]
-            for i in range(1, ORDER):
-                at = at * self.size + part[i : i - ORDER]
-            total += self.costs[self.states[at].astype(np.int64) * self.size + part[ORDER:]].sum(axis=0, dtype=np.float64)
+            part = data[start : start + AT_ONCE + ORDER].astype(np.uint32)
+            codes = part[ORDER:].copy()
+            for i in range(1, ORDER + 1):
+                codes |= part[ORDER - i : len(part) - i] << np.uint32(8 * i)
+            for _, cost in self._steps(codes, ORDER):
+                total += cost.sum(axis=0, dtype=np.float64)
         return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -127,15 +132,17 @@ class Model:
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model of the languages of docs (doc_id, text, lang), from rows that aren't held out."""
-    known = texts(docs, F.col("lang").cast("string").alias("lang")).where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull())
-    rows = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).withColumn("part", F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("rows")))
-    parts = {r["lang"]: r["part"] for r in rows.orderBy(F.desc("rows"), "lang").limit(1000).collect()}  # names of languages, a closed set
-    chosen = F.lit(False)
-    for lang, part in parts.items():
-        chosen = chosen | ((F.col("lang") == lang) & share(F.col("doc_id"), float(part)))
-    sample = known.where(chosen & F.col("text").isNotNull()).select("lang", "text")
+    known = texts(docs, F.col("lang").cast("string").alias("lang")).where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = settled(known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")))
+    if (names := rows.count()) > MOST_LANGUAGES:
+        raise ValueError(f"{names} names of languages; {MOST_LANGUAGES} can be told apart")
+    # MOST_LANGUAGES rows at most, so this broadcast is bounded
+    parts = F.broadcast(rows.select("lang", F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("rows")).alias("part")))
+    # rows are drawn by doc_id and text, and those equal in both count once: repeated ids or texts can't come all together
+    chosen = known.withColumn("hashed", F.xxhash64("text")).join(parts, "lang").where(share(F.struct("doc_id", "hashed"), F.col("part")))
+    sample = chosen.dropDuplicates(["lang", "doc_id", "hashed"]).select("lang", "text")
     counts = sample.mapInPandas(_counted, "lang string, k int, code long, n long").groupBy("lang", "k", "code").agg(F.sum("n").alias("n"))
-    return Model(counts.where((F.col("k") < ORDER) | (F.col("n") >= LEAST)).toPandas().sort_values(["lang", "k", "code"], ignore_index=True))
+    return Model(counts.where(F.col("n") >= LEAST).toPandas().sort_values(["lang", "k", "code"], ignore_index=True))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
