@@ -212,7 +212,7 @@ def document_changes(spark, sf_dir):
     return envelope.document_change(rows)
 
 
-@query("item_changes", "SELECT event_id, CASE event_type WHEN 'click' THEN 'c' WHEN 'view' THEN 'u' WHEN 'purchase' THEN 'd' ELSE 'r' END AS op, epoch_ms(ts) AS ts_ms FROM events")
+@query("item_changes", "SELECT event_id, CASE event_type WHEN 'click' THEN 'c' WHEN 'view' THEN 'u' WHEN 'purchase' THEN 'd' ELSE 'r' END AS op, epoch_us(ts) // 1000 AS ts_ms FROM events")
 def item_changes(spark, sf_dir):
     name = F.when(F.col("event_type") == "click", "INSERT").when(F.col("event_type") == "view", "MODIFY").when(F.col("event_type") == "purchase", "REMOVE").otherwise("OTHER")
     image = F.create_map(F.lit("v"), F.col("value").cast("string"))
@@ -291,7 +291,7 @@ def datetime_zero_guard(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", temporal.epoch_micros(temporal.zero_date_guard(written).cast("timestamp_ntz")).alias("micros"))
 
 
-@query("ts_millis", "SELECT event_id, epoch_ms(ts) AS v FROM events")
+@query("ts_millis", "SELECT event_id, epoch_us(ts) // 1000 AS v FROM events")
 def ts_millis(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", temporal.epoch_millis(F.col("ts")).alias("v"))
 
