@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from tideline.streaming.offsets import TtlMap
 
 LIFETIME = 72 * 3600.0
-RETRIES = 25
 
 
 @dataclass(frozen=True)
