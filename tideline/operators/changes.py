@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.session import fresh, settled
+
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the last in a total order. Partial aggregation keeps one row per key and task before the shuffle."""
@@ -55,9 +57,20 @@ def not_stale(events: DataFrame, schemas: DataFrame, keys: list[str], at: str, s
 
 
 def batches_by_bytes(df: DataFrame, size: Column, order: list[str], most: int, group: str) -> DataFrame:
-    """Rows with the number of the batch they fall in by cumulated bytes, within each group."""
-    upto = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("batch", F.floor((F.sum(size).over(upto) - 1) / most))
+    """Rows with the number of the batch they fall in by cumulated bytes, within each group.
+
+    Groups may be few and large, so rows are dealt out by ranges of group and order, cumulated within each range, and
+    the sums of a group's earlier ranges are added. Rows of one group that tie in the order stay in one range.
+    """
+    part, carry, bytes_ = (fresh(df.columns, x) for x in ("_part", "_carry", "_bytes"))
+    dealt = settled(df.withColumn(bytes_, size.cast("long")).repartitionByRange(group, *order).withColumn(part, F.spark_partition_id()))
+    # a row for each range and group in it: as many as there are partitions and groups
+    sums = dealt.groupBy(group, part).agg(F.sum(bytes_).alias(carry))
+    earlier = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(F.col(group).alias(f"{group}_of"), F.col(part).alias(f"{part}_of"), F.coalesce(F.sum(carry).over(earlier), F.lit(0)).alias(carry))
+    known = dealt.join(before, F.col(group).eqNullSafe(F.col(f"{group}_of")) & (F.col(part) == F.col(f"{part}_of")))
+    upto = Window.partitionBy(part, group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return known.withColumn("batch", F.floor((F.sum(bytes_).over(upto) + F.col(carry) - 1) / most)).select(*[F.col(f"`{c}`") for c in df.columns], "batch")
 
 
 def ready_shards(shards: DataFrame, shard: str, parent: str, seen: str, processed: str) -> DataFrame:

@@ -66,9 +66,6 @@ def with_before(df: DataFrame, keys: list[str], order: list[str], images: list[s
     return df.withColumn("before", F.lag(F.struct(*images)).over(earlier)).withColumn("after", F.struct(*images))
 
 
-DOCUMENT = T.StructType([T.StructField("operationType", T.StringType()), T.StructField("id", T.StringType()), T.StructField("coll", T.StringType())])
-
-
 def document_change(df: DataFrame) -> DataFrame:
     """Events of a document stream from operationType, id, coll, full, full_before (extended JSON texts).
 

@@ -7,9 +7,10 @@ for sources that can only be read so.
 from __future__ import annotations
 
 import datetime
+import decimal
 import re
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -102,14 +103,9 @@ def pages(df: DataFrame, keys: list[str], rows: int = PAGE_ROWS, start: tuple |
         at, first = last, False
 
 
-@dataclass(frozen=True)
-class KeyRange:
-    name: str
-    start: object
-    end: object
-
-
-INTEGER_LIMITS = {"tinyint": 8, "smallint": 16, "mediumint": 24, "int": 32, "bigint": 64}
+INTEGER_LIMITS = {"tinyint": 8, "smallint": 16, "int2": 16, "mediumint": 24, "int": 32, "integer": 32, "int4": 32, "bigint": 64, "int8": 64}
+FLOATS = ("float", "double", "real", "double precision", "float4", "float8")
+DECIMALS = ("numeric", "decimal")
 
 
 def parse_override(kind: str, text: str):
@@ -130,11 +126,17 @@ def parse_override(kind: str, text: str):
         if text.lower() not in ("true", "false", "1", "0"):
             raise ValueError(f"not a boolean: {text!r}")
         return text.lower() in ("true", "1")
-    if kind in ("float", "double", "real"):
+    if kind in FLOATS:
         return float(text)
+    if kind in DECIMALS:
+        if not re.fullmatch(r"[+-]?(\d+(\.\d*)?|\.\d+)", text):
+            raise ValueError(f"not a decimal: {text!r}")
+        return decimal.Decimal(text)
+    if kind == "uuid":
+        return str(uuid.UUID(text))
     if kind in ("date",):
         return datetime.date.fromisoformat(text)
-    if kind in ("datetime", "timestamp"):
+    if kind in ("datetime", "timestamp", "timestamp without time zone", "timestamp with time zone", "timestamptz"):
         return datetime.datetime.fromisoformat(text)
     if kind in ("binary", "varbinary", "blob", "bit", "bytea"):
         raise ValueError(f"a {kind} key can't be given as text")

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions.text import topic
 from tideline.operators import envelope
@@ -54,9 +55,13 @@ def snapshot(spark: SparkSession, given: Settings, plans: dict[str, SnapshotPlan
             name = topic(given.sink.options["topicPrefix"], *map(F.lit, suffix(given.source, table)))
             publish(envelope.message(made, name), given.sink.options)
         else:
-            target = tables(table) if tables else TableSink(spark, f"{given.sink.options['path']}/{table.name}", list(table.keys))
+            # documents and items have images as text: their key's columns and the image make the table
+            whole = isinstance(made.schema["after"].dataType, T.StructType)
+            rows = made.select("after.*") if whole else made.select("key.*", F.col("after").alias("document"))
+            keys = list(table.keys) if whole else made.schema["key"].dataType.names
+            target = tables(table) if tables else TableSink(spark, f"{given.sink.options['path']}/{table.name}", keys)
             target.prepare(given.sink.options.get("beforeBackfill", "none"))
-            target.append(made.select("after.*"), target.keys)
+            target.append(rows, [])
         done[table.name] = seen.get["rows"]
         log.info("%s: %d rows", table.name, done[table.name])
     return done

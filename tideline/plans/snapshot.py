@@ -14,7 +14,7 @@ from tideline.types.kind import Kind
 
 @dataclass(frozen=True)
 class SnapshotPlan:
-    """What to read of a table and how; kinds are the declared types by column."""
+    """What to read of a table and how; kinds are the declared types by column, left_out the columns that can't be read."""
 
     table: str
     keys: tuple[str, ...]
@@ -22,10 +22,11 @@ class SnapshotPlan:
     choice: ColumnChoice = ColumnChoice()
     start: tuple | None = None
     end: tuple | None = None
+    left_out: tuple[str, ...] = ()
 
     def rows(self, df: DataFrame) -> DataFrame:
         """The range's rows, chosen columns only."""
-        chosen = self.choice.of(df.columns, list(self.keys))
+        chosen = self.choice.of([c for c in df.columns if c not in self.left_out], list(self.keys))
         return df.where(keyset.between(list(self.keys), self.start, self.end)).select(*chosen)
 
     def converted(self, columns: list[str]) -> dict[str, Column]:

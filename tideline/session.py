@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; make a folder only where none is set, as in local tests."""
+    """Use the cluster's spark.checkpoint.dir; where none is set, make a folder on a local master and fail on any other,
+    as executors would not share it."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tideline-"))
+        given = spark.conf.get("spark.checkpoint.dir", None)
+        if not given and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(given or tempfile.mkdtemp(prefix="tideline-"))
 
 
 def settled(df: DataFrame) -> DataFrame:

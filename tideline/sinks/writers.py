@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import changes
 from tideline.plans.config import SinkConfig
+from tideline.session import fresh
 
 REQUEST_BYTES = 1_048_576
 UPDATED, DB_UPDATED, DELETED = "__updated_at", "__db_updated_at", "__deleted"
@@ -84,10 +85,13 @@ class TableSink:
         return out.withColumn(DELETED, F.lit(False)) if self.soft_delete and DELETED not in out.columns else out
 
     def append(self, df: DataFrame, order: list[str]) -> None:
-        """Add rows, then keep the last of each key."""
+        """Add rows, then keep the last of each key: by the order, and in the end, or without one, those loaded later."""
         old, new = self.read(), self._marked(df)
-        whole = new if old is None else old.unionByName(new)
-        self.put(changes.latest(whole, self.keys, order))
+        load = fresh(new.columns, "_load")
+        whole = new.withColumn(load, F.lit(1))
+        if old is not None:
+            whole = old.withColumn(load, F.lit(0)).unionByName(whole)
+        self.put(changes.latest(whole, self.keys, [*order, load]).drop(load))
 
     def merge(self, df: DataFrame, op: str, order: list[str]) -> None:
         old = self.read()

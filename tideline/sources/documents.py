@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import decimal
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +24,37 @@ def key_text(document):
     return F.coalesce(number, raw)
 
 
+NUMBERS = ("$numberInt", "$numberLong", "$numberDouble", "$numberDecimal")
+
+
+def typed_id(document):
+    """struct<type, number, text> of a document's _id: object ids, numbers and strings compare within their own type."""
+    raw = F.try_parse_json(document)
+    shape = F.schema_of_variant(F.try_variant_get(raw, "$._id", "variant"))
+    number = F.coalesce(*[F.get_json_object(document, f"$._id.{n}") for n in NUMBERS], F.when(shape.rlike("^(BIGINT|DOUBLE|DECIMAL)"), id_text(document))).try_cast("decimal(38,10)")
+    oid = F.get_json_object(document, "$._id['$oid']")
+    kind = F.when(oid.isNotNull(), "objectId").when(number.isNotNull(), "number").when(shape == "STRING", "string").otherwise("other")
+    return F.struct(kind.alias("type"), number.alias("number"), F.coalesce(F.lower(oid), id_text(document)).alias("text"))
+
+
+def typed_bound(text: str) -> tuple[str, str, object]:
+    """Type, field to compare and value of a range's end given as text: 24 hexadecimal digits, a number, or a string."""
+    if re.fullmatch("[0-9a-fA-F]{24}", text):
+        return "objectId", "text", text.lower()
+    if re.fullmatch(r"[+-]?\d+(\.\d+)?", text):
+        return "number", "number", decimal.Decimal(text)
+    return "string", "text", text
+
+
 def scan(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """(id, document) of JSON lines, of ids from start to end, both included."""
+    """(id, document) of JSON lines, of ids from start to end, both included; a bound meets ids of its own type only."""
     lines = spark.read.text(path).select(key_text(F.col("value")).alias("id"), F.col("value").alias("document"))
-    if start is not None:
-        lines = lines.where(F.col("id") >= start)
-    return lines if end is None else lines.where(F.col("id") <= end)
+    for bound, met in ((start, lambda a, b: a >= b), (end, lambda a, b: a <= b)):
+        if bound is not None:
+            kind, field, value = typed_bound(bound)
+            of = typed_id(F.col("document"))
+            lines = lines.where((of["type"] == kind) & met(of[field], F.lit(value)))
+    return lines
 
 
 def snapshot(df: DataFrame, collection: str) -> DataFrame:

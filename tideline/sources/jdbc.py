@@ -164,13 +164,14 @@ def load_plan(spark: SparkSession, source: SourceConfig, table: TableConfig, sql
     rows = [tuple(r) for r in query(spark, source, COLUMN_QUERIES[source.kind].format(schema=table.schema, table=table.name)).collect()]
     keys = key_columns(spark, source, table)
     check_keys(source.kind, keys, {r[0]: r[1] for r in rows})
-    return plan_of(table, keys, kinds_of(source.kind, rows, sql_mode))
+    kinds = kinds_of(source.kind, rows, sql_mode)
+    return plan_of(table, keys, kinds, tuple(r[0] for r in rows if r[0] not in kinds))
 
 
-def plan_of(table: TableConfig, keys: list[str], kinds: dict[str, Kind]) -> SnapshotPlan:
+def plan_of(table: TableConfig, keys: list[str], kinds: dict[str, Kind], left_out: tuple[str, ...] = ()) -> SnapshotPlan:
     names = [kinds[k].name if k in kinds else "text" for k in keys]
     start, end = (keyset.overrides(keys, names, x) for x in (table.start, table.end))
-    return SnapshotPlan(table.name, tuple(keys), kinds, table.choice, start, end)
+    return SnapshotPlan(table.name, tuple(keys), kinds, table.choice, start, end, left_out)
 
 
 def create_statement(spark: SparkSession, source: SourceConfig, name: str) -> str:
