@@ -1,6 +1,6 @@
 """Bounded scans over composite primary keys.
 
-A range scan is one predicate and one read; Spark splits it by files or by key ranges. `pages` reproduces a paged reader
+A range scan is one predicate and one read; Spark splits it by files or by key ranges. `pages` reproduces a paged scan
 for sources that can only be read so.
 """
 

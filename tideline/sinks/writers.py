@@ -42,7 +42,7 @@ def publish(messages: DataFrame, options: dict) -> None:
 
 
 class TableSink:
-    """A table as versions of Parquet below a folder; readers take the newest complete one, and nothing is overwritten in place."""
+    """A table as versions of Parquet below a folder; who reads takes the newest complete one, and nothing is overwritten in place."""
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], soft_delete: bool = False, updated: bool = False):
         self.spark, self.path, self.keys, self.soft_delete, self.updated = spark, path, keys, soft_delete, updated

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.plans.config import SourceConfig, TableConfig
-from tideline.sources.registry import reader
+from tideline.sources.registry import source_of
 
 
 def id_text(document):
@@ -62,7 +62,7 @@ def snapshot(df: DataFrame, collection: str) -> DataFrame:
     return df.select(F.lit(collection).alias("coll"), F.struct(F.col("id")).alias("key"), F.lit(None).cast("string").alias("before"), F.col("document").alias("after"), F.lit("r").alias("op"))
 
 
-@reader("mongodb")
+@source_of("mongodb")
 def read(spark: SparkSession, source: SourceConfig, table: TableConfig) -> DataFrame:
     bound = lambda v: v if isinstance(v, str) or v is None else v[0]
     return scan(spark, f"{source.options['path']}/{table.name}", bound(table.start), bound(table.end))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import tagged
 from tideline.plans.config import SourceConfig, TableConfig
-from tideline.sources.registry import reader
+from tideline.sources.registry import source_of
 
 MANIFEST = "manifest-summary.json"
 LINE_BYTES = 1 << 20
@@ -63,7 +63,7 @@ def snapshot(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     return df.select(F.lit(table).alias("table"), F.struct(*map(value, keys)).alias("key"), tagged.decode(F.col("item")).alias("after"), tagged.schema(F.col("item")).alias("schema"), F.lit("r").alias("op"))
 
 
-@reader("dynamodb")
+@source_of("dynamodb")
 def read(spark: SparkSession, source: SourceConfig, table: TableConfig) -> DataFrame:
     files = source.options.get("files")
     return scan(spark, files or source.options["path"])

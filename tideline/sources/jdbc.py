@@ -11,7 +11,7 @@ from tideline.operators import keyset
 from tideline.operators.keyset import EmptyTable
 from tideline.plans.config import SourceConfig, TableConfig
 from tideline.plans.snapshot import SnapshotPlan
-from tideline.sources.registry import reader
+from tideline.sources.registry import source_of
 from tideline.types import mssql, mysql, postgres
 from tideline.types.kind import Kind
 
@@ -105,7 +105,7 @@ def scan(spark: SparkSession, source: SourceConfig, table: TableConfig, parts: i
     return spark.read.jdbc(settings["url"], name_of(source, table), predicates=ranges, properties=properties)
 
 
-@reader("mysql", "postgresql", "mssql", "derby")
+@source_of("mysql", "postgresql", "mssql", "derby")
 def read(spark: SparkSession, source: SourceConfig, table: TableConfig) -> DataFrame:
     return scan(spark, source, table)
 

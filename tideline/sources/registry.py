@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tideline.plans.config import SourceConfig, TableConfig
 
-Reader = Callable[[SparkSession, SourceConfig, TableConfig], DataFrame]
-READERS: dict[str, Reader] = {}
+Source = Callable[[SparkSession, SourceConfig, TableConfig], DataFrame]
+SOURCES: dict[str, Source] = {}
 
 
-def reader(*kinds: str):
-    def put(f: Reader) -> Reader:
-        READERS.update(dict.fromkeys(kinds, f))
+def source_of(*kinds: str):
+    def put(f: Source) -> Source:
+        SOURCES.update(dict.fromkeys(kinds, f))
         return f
 
     return put
@@ -23,6 +23,6 @@ def reader(*kinds: str):
 def read(spark: SparkSession, source: SourceConfig, table: TableConfig) -> DataFrame:
     from tideline.sources import documents, items, jdbc  # noqa: F401  they register themselves
 
-    if source.kind not in READERS:
-        raise ValueError(f"no reader of {source.kind}")
-    return READERS[source.kind](spark, source, table)
+    if source.kind not in SOURCES:
+        raise ValueError(f"no source of {source.kind}")
+    return SOURCES[source.kind](spark, source, table)
