@@ -220,7 +220,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     part = min(1.0, sample_rows / max(1, known.count()))
     chosen = known.where(share(F.col("doc_id"), part)).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     # some sample_rows rows whatever the input, so this broadcast is bounded
-    rows = texts(docs).join(F.broadcast(chosen), "doc_id").withColumn("hashed", F.xxhash64("text", F.lit("side"))).dropDuplicates(["hashed", "toxic"])
+    met = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(F.broadcast(chosen), "doc_id").count()
+    rows = texts(docs).join(F.broadcast(chosen), "doc_id").withColumn("hashed", F.xxhash64("text", F.lit("side")))
+    # more only where rows repeat a doc_id; different texts are then drawn each by itself, and equal ones count once
+    rows = rows.where(share(F.col("hashed"), min(1.0, sample_rows / max(1, met)))).dropDuplicates(["hashed", "toxic"])
     rows = rows.select("text", "toxic", F.pmod(F.col("hashed"), F.lit(2)).cast("int").alias("side"))
     rows = settled(rows)
     counted = rows.mapInPandas(_sides, "entry string, side int, toxic int, n long").groupBy("entry").agg(
