@@ -213,3 +213,127 @@ def test_posterior_in_steps(spark, domain):
     logs = F.array(*[F.lit(0.0 if k != domain else 50.0) for k in range(3)])
     s = spark.range(1).select(mixing._steps(logs).alias("s")).first()["s"]
     assert (s["s0"], s["s1"]) == ((32, 0) if domain == 0 else (0, 32))
+
+
+def test_masked_addresses_of_any_length(spark):
+    """A label before addresses marks a masked one whole, whatever its length."""
+    label = [f"write mail: jo{i}@mail.example.com today" for i in range(30)]
+    names = ["n" * n for n in (40, 100, 10_000)]
+    texts = [*label, *[f"mail: {n}(at)example now" for n in names], "q" * 60_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert [got[30 + i].spans for i in range(3)] == [f"email:6:{6 + len(n) + len('(at)example')}" for n in names] and got[33].spans == ""
+
+
+def test_found_values_induce_patterns(spark):
+    """A label before known phones finds local numbers; these show a second label, which finds numbers that no first label has."""
+    draw = random.Random(8)
+    local = lambda: f"555-{draw.randint(1000, 9999)}-{draw.randint(10, 99)}"
+    noise = lambda: " ".join(draw.choice(["the", "a", "of", "and", "to"]) for _ in range(6))
+    # an unseen number after a label counts against it until the label holds, so it needs enough shared ones
+    shared, unseen = [local() for _ in range(12)], [local() for _ in range(2)]
+    texts = [f"{noise()} tel: +1 (212) 555-{1000 + i} {noise()}" for i in range(60)]
+    texts += [f"{noise()} tel: {x} {noise()}" for x in shared] + [f"{noise()} ring: {x} {noise()}" for x in shared]
+    first = len(texts)
+    texts += [f"{noise()} ring: {x} {noise()}" for x in unseen]
+    # plain numbers after common words, and after a label of something else, are no personal data
+    plain = len(texts)
+    texts += [f"{noise()} {local()} {noise()}" for _ in range(20)] + [f"{noise()} part: {local()} {noise()}" for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    span = lambda i, label: f"phone:{texts[i].index(label) + len(label)}:{texts[i].index(label) + len(label) + 11}"
+    caught = [i for i in range(first, plain) if got[i] == span(i, "ring: ")]
+    wrong = [i for i in range(plain, len(texts)) if got[i]]
+    assert len(caught) == plain - first and not wrong
+    assert all(got[60 + i] == span(60 + i, "tel: ") for i in range(12))
+
+
+def test_right_contexts(spark):
+    texts = [f"w{i} 10.0.{i}.7 (host) w{i}" for i in range(30)] + ["see w 555 0142 77 (host)"] + ["see w 555 0142 78 (else)"]
+    docs = spark.createDataFrame([(i, t.replace("10.0", "10.1")) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    assert got[30] == "ip:6:17" and got[31] == ""
+
+
+def test_repeated_ids_do_not_swell_the_sample(spark, monkeypatch):
+    """Labelled rows that repeat one doc_id with many texts are drawn one by one, so learning stays bounded."""
+    rows, marks = corpus(400)
+    hot = next(i for i, _ in rows if zlib.crc32(str(i).encode()) % 5)
+    docs = spark.createDataFrame([(hot, f"{t} w{i}") for i, t in rows * 3], "doc_id long, text string")
+    seen = []
+    made = toxicity.Model
+    monkeypatch.setattr(toxicity, "Model", lambda w, x, y: seen.append(len(y)) or made(w, x, y))
+    toxicity.learn(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"), 100)
+    assert 0 < seen[0] < 200 if seen[0] else True
+
+
+def brute_margin(x_fit, y, x):
+    """Boosted trees by exhaustive search over the same thresholds, row by row."""
+    edges = [np.unique(np.quantile(x_fit[:, j], np.linspace(0, 1, toxicity.BINS + 1)[1:-1])) for j in range(x_fit.shape[1])]
+    share = min(max(y.mean(), 1e-3), 1 - 1e-3)
+    base = np.log(share / (1 - share))
+    fit, out = np.full(len(y), base), np.full(len(x), base)
+    for _ in range(toxicity.TREES):
+        p = 1 / (1 + np.exp(-fit))
+        g, h = p - y, p * (1 - p)
+
+        def grow(rows, depth):
+            if depth == toxicity.DEPTH:
+                return -toxicity.RATE * g[rows].sum() / (h[rows].sum() + toxicity.RIDGE)
+            best = (1e-9, None, None)
+            for j, cuts in enumerate(edges):
+                for cut in cuts:
+                    left = x_fit[rows, j] < cut
+                    a, b = rows[left], rows[~left]
+                    if h[a].sum() < toxicity.LEAST_HESSIAN or h[b].sum() < toxicity.LEAST_HESSIAN:
+                        continue
+                    score = lambda r: g[r].sum() ** 2 / (h[r].sum() + toxicity.RIDGE)
+                    gain = score(a) + score(b) - score(rows)
+                    if gain > best[0] + 1e-9:
+                        best = (gain, j, cut)
+            if best[1] is None:
+                return grow(rows, depth + 1)
+            left = x_fit[rows, best[1]] < best[2]
+            return best[1], best[2], grow(rows[left], depth + 1), grow(rows[~left], depth + 1)
+
+        tree = grow(np.arange(len(y)), 0)
+
+        def leaf(node, row):
+            while isinstance(node, tuple):
+                node = node[2] if row[node[0]] < node[1] else node[3]
+            return node
+
+        fit += [leaf(tree, r) for r in x_fit]
+        out += [leaf(tree, r) for r in x]
+    return out
+
+
+def test_trees_match_exhaustive_search(monkeypatch):
+    monkeypatch.setattr(toxicity, "TREES", 6)
+    draw = np.random.default_rng(3)
+    x = np.round(draw.random((150, 4)), 2)
+    y = ((x[:, 0] + x[:, 1] * x[:, 2] + draw.normal(0, 0.2, 150)) > 0.8).astype(float)
+    assert np.allclose(toxicity.Trees(x[:100], y[:100]).margin(x), brute_margin(x[:100], y[:100], x), atol=1e-6)
+
+
+def test_scores_of_the_query_match_the_model_by_hand(spark):
+    """op3's scores over whole texts: features counted in plain Python, trees and knots walked one by one."""
+    rows, marks = corpus(300, 5)
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    weight = lambda w: max([model.lexicon.words.get(w, 0.0), *[model.lexicon.stems.get(w[:n], 0.0) for n in toxicity.STEMS if len(w) >= n]])
+    for i, t in rows[:60]:
+        words = re.findall(r"[^\W\d_]+", t.lower())
+        hits = [weight(w) for w in words if weight(w)]
+        different = {w: weight(w) for w in words if weight(w)}
+        n = max(1, len(words))
+        x = [sum(hits) / n, np.log1p(sum(hits)), len(hits) / n, np.log1p(len(hits)), sum(different.values()), max(different.values(), default=0.0), *[0.0] * 7]
+        margin = model.trees.base
+        for splits, leaves in model.trees.trees:
+            node = 0
+            for level in splits:
+                j, b = level[node]
+                node = 2 * node + int(np.searchsorted(model.trees.edges[j], x[j], side="right") > b)
+            margin += leaves[node]
+        assert got[i] == pytest.approx(float(np.interp(margin, model.knots, model.values)), abs=1e-9)

@@ -183,3 +183,40 @@ def test_heap_on_small_words(word):
     ranks, encoding = library()
     want = encoding.encode_ordinary(word.decode()) if word else []
     assert (bpe.merge_all(word, ranks) if word else []) == want
+
+
+def test_workers_split_by_code_point():
+    """Letters and numbers that the workers' matcher knows and the library doesn't, and others of all planes."""
+    as_points = lambda ranges: [int(end, 16) for r in ranges.split() for end in r.split("-")]
+    points = [*range(1, 0x3400, 7), *range(0x3400, 0x110000, 1999), *as_points(bpe.NEWER_LETTERS), *as_points(bpe.NEWER_NUMBERS)]
+    split = bpe.splitter(public_tokenizers.PATTERN)
+    ranks = {bytes([i]): i for i in range(256)}
+    texts = ["a" + chr(c) + "1" + chr(c) + " " + chr(c) + "!" + chr(c) + "\n" for c in points if not 0xD800 <= c < 0xE000]
+    for t in texts:
+        for a in range(len(t)):
+            for b in range(a + 1, min(len(t), a + 6) + 1):
+                ranks.setdefault(t[a:b].encode(), len(ranks))
+    library_ = tiktoken.Encoding("split", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for t in texts:
+        assert [ranks[w.encode()] for w in split(t)] == library_.encode_ordinary(t), hex(ord(t[1]))
+
+
+def test_shipped_language_statistics_match_the_definition(spark):
+    """The model as learned by the query, at its own parameters, against the definition over the same texts."""
+    draw = random.Random(4)
+    words = {"aa": "cat dog house water 12 tree".split(), "bb": "katze hund haus wasser 34 ßaum".split()}
+    rows = [(i, " ".join(draw.choice(words[x]) for _ in range(6)) + f" {x}{i}", x) for i, x in enumerate(draw.choice(list(words)) for _ in range(60))]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1))
+    learned = {x: [t for i, t, lang in rows if lang == x and zlib.crc32(str(i).encode()) % 5] for x in words}
+    assert model.langs == ["aa", "bb"]
+    for text in ("cat hund", "zzz ÿ 99", "wasser aa3", "ß"):
+        # rows are learned joined by line ends, in an order that Spark chooses: only the few grams over those ends may differ
+        got, want = model.bits(text), np.array([brute_bits(learned[x], text) for x in model.langs])
+        assert np.allclose(got, want, rtol=0.02), text
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, f"text {i}", f"l{i % 3}") for i in range(60)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        language_id.learn(docs)
