@@ -4,7 +4,7 @@ Base spans are the matches of four patterns (email, ip, card, phone) that pass t
 patterns and instances: a pattern is the token left or right of a value, an instance is a value that looks like an
 identifier. A pattern's confidence in a kind is the scored share of all that stands beside it, over all documents. A
 pattern with enough sure instances and confidence holds; it marks the instances beside it, as sure as the patterns that
-hold them make them, and these induce further patterns in the next round, until no round finds a pattern. Held patterns
+hold them make them, and these induce further patterns in the next round, until a round changes nothing. Held patterns
 then mark the values beside them that no base span covers. A common word before an address stands before too much else
 to become a pattern.
 
@@ -43,7 +43,7 @@ LOOSE = {
 CONTEXT = 64  # characters of a pattern's token at most
 LEAST_SEEDS = 4  # distinct sure instances of a pattern
 CONFIDENCE = 0.7  # of a pattern that holds, and of a sure instance
-ROUNDS = 12  # of induction at most; it mostly ends after two or three, when a round finds nothing new
+ROUNDS = 12  # of induction at most; it mostly ends after a few, when neither patterns nor their confidence change
 SIDES = ("left", "right")
 CHUNK = 256
 BROADCAST_ROWS = 100_000  # patterns that are broadcast at most, some 10 MB
@@ -198,13 +198,14 @@ def learn(docs: DataFrame, read: DataFrame) -> DataFrame:
     totals = settled(totals.select(*place, (F.col("values") + F.greatest(F.coalesce("stands", F.lit(0)) - F.col("n"), F.lit(0)) + 1).alias("all")))
     graph = settled(edges.join(totals.select(*place), place, "left_semi").select(*place, "value"))
     known = settled(edges.where("known is not null").select("shape", "value", F.col("known").alias("kind"), F.lit(1.0).alias("score")).distinct())
-    scores, before, patterns = known, -1, None
+    scores, before, patterns = known, None, None
     for _ in range(ROUNDS):
         sure = graph.join(scores, ["shape", "value"]).groupBy(*place, "kind").agg(F.sum("score").alias("sure"), F.count(F.when(F.col("score") >= CONFIDENCE, 1)).alias("seeds"))
         rated = sure.join(totals, place).select(*place, "kind", (F.col("sure") / F.col("all")).alias("confidence"), "seeds").where((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= LEAST_SEEDS))
         best = rated.groupBy(*place).agg(F.max(F.struct("confidence", "kind")).alias("b"))
         patterns = settled(best.select(*place, "b.kind", "b.confidence"))
-        if (found := patterns.count()) == before:
+        found = patterns.agg(F.count(F.lit(1)), F.round(F.coalesce(F.sum("confidence"), F.lit(0.0)), 2)).first()
+        if found == before:
             break
         before = found
         doubt = F.exp(F.sum(F.ln(1 - F.least(F.col("confidence"), F.lit(0.999)))))
