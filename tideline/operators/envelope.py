@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from tideline.functions.numeric import fail
 from tideline.functions.text import escaped_json
+from tideline.session import fresh, settled
 
 LOG_OPS = {"INSERT": "c", "MODIFY": "u", "REMOVE": "d"}
 DOCUMENT_OPS = {"insert": "c", "update": "u", "replace": "u", "delete": "d"}
@@ -31,6 +33,12 @@ def source(table: str, ts_ms: Column, connector: str = "", db: str = "", **more:
     return F.struct(*parts, *[c.alias(n) for n, c in more.items()])
 
 
+def log_source(connector: str) -> Column:
+    """Source block of a log's events: their database, table, time, file, position and transaction."""
+    ms = (F.col("ts") * 1000).cast("long").alias("ts_ms")
+    return F.struct(F.lit(connector).alias("connector"), ms, F.col("db"), F.col("tbl").alias("table"), F.col("shard").alias("file"), "pos", F.coalesce("gtid", F.lit("")).alias("gtid"))
+
+
 def snapshot(df: DataFrame, keys: list[str], table: str, ts_ms: Column, converted: dict[str, Column] | None = None) -> DataFrame:
     """Rows as events with op r: key of converted values, before null, after all columns."""
     converted = converted or {}
@@ -61,9 +69,23 @@ def pair_updates(rows: Column) -> Column:
 
 
 def with_before(df: DataFrame, keys: list[str], order: list[str], images: list[str]) -> DataFrame:
-    """Before images from a key's own earlier event, for logs that have after images only."""
-    earlier = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("before", F.lag(F.struct(*images)).over(earlier)).withColumn("after", F.struct(*images))
+    """Before images from a key's own earlier event, for logs that have after images only.
+
+    A key may have most of all events, so events are dealt out by ranges of key and order; the first of a key in its
+    range takes the last of the range before, of which there is one row for each range and key in it. Events that tie in
+    the order stay in one range, where either may be the earlier one. A null key is a key of its own.
+    """
+    part, image, carry = (fresh([*df.columns, "before", "after"], x) for x in ("_part", "_image", "_carry"))
+    dealt = settled(df.withColumn(image, F.struct(*images)).repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id()))
+    # ranges with events of one key follow each other, so all but a key's last range are full of it: few rows
+    last = F.max(F.struct(F.struct(*order).alias("at"), F.col(image).alias("image")))["image"]
+    ends = dealt.groupBy(*keys, part).agg(last.alias(carry))
+    before = ends.withColumn(carry, F.lag(carry).over(Window.partitionBy(*keys).orderBy(part))).where(F.col(carry).isNotNull())
+    named = before.select(*[F.col(k).alias(f"{k}_of") for k in keys], F.col(part).alias(f"{part}_of"), F.col(carry))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}_of")) for k in keys], F.col(part) == F.col(f"{part}_of"))
+    earlier = F.lag(image).over(Window.partitionBy(*keys, part).orderBy(*order))
+    found = dealt.withColumn("before", earlier).join(named, same, "left")
+    return found.select(*[F.col(c) for c in df.columns if c not in ("before", "after")], F.coalesce("before", carry).alias("before"), F.col(image).alias("after"))
 
 
 def document_change(df: DataFrame) -> DataFrame:

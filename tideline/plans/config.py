@@ -128,8 +128,11 @@ def settings(given: dict) -> Settings:
         _need(options, "bootstrapServers", "topicPrefix")
         if options.get("authMechanism", "none") not in AUTH:
             raise ConfigError(f"unknown authMechanism: {options['authMechanism']}")
-    elif options.get("beforeBackfill", "none") not in BEFORE_BACKFILL:
-        raise ConfigError(f"unknown beforeBackfill: {options['beforeBackfill']}")
+    else:
+        if options.get("beforeBackfill", "none") not in BEFORE_BACKFILL:
+            raise ConfigError(f"unknown beforeBackfill: {options['beforeBackfill']}")
+        if len(source.tables) > 1 and not options.get("severalTables"):
+            raise ConfigError("a table sink takes one table a run, unless severalTables is set")
     return Settings(source, SinkConfig(sink, options))
 
 

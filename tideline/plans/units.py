@@ -12,11 +12,14 @@ from tideline.ddl.parser import UnsupportedStatement, parse
 from tideline.ddl.registry import Registry, SchemaError, bootstrap, recover, replay
 from tideline.functions import text
 from tideline.operators import changes, envelope, keyset, projection
+from tideline.plans.config import ConfigError, settings
 from tideline.plans.snapshot import SnapshotPlan, warehouse_columns
 from tideline.session import small_table, table
 from tideline.sinks import writers
 from tideline.sources import documents, items, jdbc
+from tideline.streaming.cursors import CursorReader
 from tideline.streaming.offsets import TtlMap
+from tideline.streaming.shard_log import ShardReader
 from tideline.streaming.shards import Shard, ShardStates, discover
 from tideline.types import mssql, mysql, postgres
 
@@ -384,3 +387,85 @@ def shard_states(spark, sf_dir):
     now[0] = 73 * 3600.0
     said.append("kept" if states.seen("p") else "expired")
     return _rows(spark, list(enumerate(said)), "step: int, outcome: string")
+
+
+# --- logs, cursors, shards as streams ---
+
+
+@query("source_block", "SELECT event_id, 'mysql' AS connector, epoch_us(ts) // 1000000 * 1000 AS ts_ms, 'shop' AS db, event_type AS \"table\", 'log.' || user_id % 3 AS file, event_id AS pos, CASE WHEN event_id % 2 = 0 THEN 's:' || event_id ELSE '' END AS gtid FROM events")
+def source_block(spark, sf_dir):
+    """Where in the log an event was; without a transaction id the text is empty."""
+    log = table(spark, sf_dir, "events").select(
+        "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts"), F.lit("shop").alias("db"), F.col("event_type").alias("tbl"),
+        F.concat(F.lit("log."), F.col("user_id") % 3).alias("shard"), F.col("event_id").alias("pos"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("s:"), "event_id")).alias("gtid"),
+    )
+    return log.select("event_id", envelope.log_source("mysql").alias("s")).select("event_id", "s.*")
+
+
+class ListedChanges:
+    """A cursor over a list of changes; tokens are their places."""
+
+    def __init__(self, changes: list[dict], token: bytes | None):
+        self.changes, self.at = changes, int(token or 0)
+
+    def try_next(self) -> tuple[bytes, dict] | None:
+        if self.at == len(self.changes):
+            return None
+        self.at += 1
+        return str(self.at).encode(), self.changes[self.at - 1]
+
+
+CHANGES = [{"operationType": k, "documentKey": {"_id": i}, "ns": {"coll": c}} for i, (k, c) in enumerate([("insert", "a"), ("update", "b"), ("delete", "a"), ("replace", "a"), ("insert", "a")])]
+
+
+@query("cursor_resume", _values("batch, id, op, token", (0, "0", "insert", "Mw=="), (0, "2", "delete", "Mw=="), (1, "3", "replace", "NQ=="), (1, "4", "insert", "NQ=="), (2, "2", "delete", "NQ=="), (2, "3", "replace", "NQ=="), (2, "4", "insert", "NQ==")))
+def cursor_resume(spark, sf_dir):
+    """Two batches of at most two watched changes, the second by a reader that knows the token alone; then a batch between
+    two tokens again."""
+    reader = lambda: CursorReader(lambda kinds, before, token: ListedChanges(CHANGES, token), ["a"], 2, True)
+    rows, first = reader().read({"token": ""})
+    more, second = reader().read(first)
+    again = reader().readBetweenOffsets({"token": "MQ=="}, second)
+    got = [(n, r[1], r[0], end["token"]) for n, part, end in ((0, rows, first), (1, more, second), (2, again, second)) for r in part]
+    return _rows(spark, got, "batch: int, id: string, op: string, token: string")
+
+
+class ListedShards:
+    """A client of shards whose records are given; an iterator is a shard and a place, a page has two records."""
+
+    def __init__(self, shards: list[Shard], held: dict[str, list[str]], fails: int = 0):
+        self.listed, self.held, self.fails = shards, held, fails
+
+    def shards(self) -> list[list[Shard]]:
+        if self.fails:
+            self.fails -= 1
+            raise ConnectionError("try again")
+        return [[s] for s in self.listed]
+
+    def start(self, shard: str, kind: str, seq: str | None) -> str:
+        return f"{shard}:{self.held[shard].index(seq) + 1 if kind == 'AFTER_SEQUENCE_NUMBER' else 0}"
+
+    def records(self, iterator: str, limit: int) -> tuple[list[dict], str | None]:
+        shard, at = iterator.rsplit(":", 1)
+        end = int(at) + 2
+        page = [{"seq": s, "eventName": "INSERT", "keys": {"id": {"S": s}}, "new": {"id": {"S": s}}, "old": None, "created": None} for s in self.held[shard][int(at) : end]]
+        return page, f"{shard}:{end}" if end < len(self.held[shard]) else None
+
+
+@query("shard_log_batches", _values("batch, shard, seq", (0, "p", "p1"), (0, "p", "p2"), (1, "p", "p3"), (0, "x", "x1"), (2, "c", "c1")))
+def shard_log_batches(spark, sf_dir):
+    """A page a shard and batch: the child waits for the batch that ends its parent; one whose parent has left the log doesn't."""
+    client = ListedShards([Shard("c", "p"), Shard("p"), Shard("x", "gone")], {"p": ["p1", "p2", "p3"], "c": ["c1"], "x": ["x1"]}, 2)
+    reader, start, got = ShardReader(lambda: client, 1), {}, []
+    for n in range(4):
+        end = json.loads(json.dumps(reader.latestOffset()))
+        got += [(n, r[0], r[1]) for part in reader.partitions(start, end) for r in reader.read(part)]
+        start = end
+    return _rows(spark, got, "batch: int, shard: string, seq: string")
+
+
+@query("one_table_a_run", _values("tables, outcome", ("one", "accepted"), ("two", "refused"), ("two, allowed", "accepted")))
+def one_table_a_run(spark, sf_dir):
+    """A table sink takes one table, unless more are asked for."""
+    of = lambda names, **more: _refused(lambda: settings({"source": "mongodb", "mongodb": {"host": "h", "database": "d", "collections": [{"name": n} for n in names]}, "destination": "table", "table": {"path": "p", **more}}), ConfigError)
+    return _rows(spark, [("one", of("a")), ("two", of("ab")), ("two, allowed", of("ab", severalTables=True))], "tables: string, outcome: string")

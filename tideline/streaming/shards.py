@@ -53,21 +53,23 @@ class ShardStates:
         return bool(shard.parent) and self.seen(shard.parent) and not self.processed(shard.parent)
 
 
-def discover(pages: list[list[Shard]], states: ShardStates) -> list[Shard]:
-    """Shards of all pages in an order that has parents first; all are marked as seen before any is handed out."""
+def ordered(pages: list[list[Shard]]) -> list[Shard]:
+    """Shards of all pages, each once, parents first."""
     every = [s for page in pages for s in page]
-    for s in every:
-        states.see(s.id)
     known, out, done = {s.id: s for s in every}, [], set()
+    for s in every:
+        line = []
+        while s is not None and s.id not in done:
+            done.add(s.id)
+            line.append(s)
+            s = known.get(s.parent)
+        out += reversed(line)
+    return out
 
-    def put(s: Shard) -> None:
-        if s.id in done:
-            return
-        done.add(s.id)
-        if s.parent in known:
-            put(known[s.parent])
-        out.append(s)
 
-    for s in every:
-        put(s)
-    return [s for s in out if not states.processed(s.id)]
+def discover(pages: list[list[Shard]], states: ShardStates) -> list[Shard]:
+    """Shards of all pages in an order that has parents first; all are marked as seen before any is handed out."""
+    found = ordered(pages)
+    for s in found:
+        states.see(s.id)
+    return [s for s in found if not states.processed(s.id)]
