@@ -56,6 +56,29 @@ def test_jdbc_scan(spark, tmp_path):
         registry.read(spark, SourceConfig("nope"), TableConfig("T"))
 
 
+def test_jdbc_ranges_of_any_key(spark, tmp_path):
+    """Texts, composite keys with a hot first column, decimals and dates are cut into even ranges that cover all rows once."""
+    url = f"jdbc:derby:{tmp_path}/keys;create=true"
+    made = spark.range(1000).select(
+        F.when(F.col("id") < 900, 1).otherwise(F.col("id")).alias("TENANT"), F.concat(F.lit("o'k "), F.col("id")).alias("NAME"), F.col("id").alias("ID"),
+        (F.col("id") / 4).cast("decimal(12,2)").alias("AMOUNT"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("DAY"), F.when(F.col("id") % 10 > 0, F.col("id")).alias("GAPS"),
+        (F.col("id") / 3).alias("RATIO"), F.concat(F.lit("\\\\"), F.col("id")).alias("PATH"),
+    )
+    made.write.format("jdbc").options(url=url, driver=jdbc.DRIVERS["derby"], dbtable="T", createTableColumnTypes="NAME VARCHAR(40), PATH VARCHAR(40)").save()
+    where = SourceConfig("derby", options={"url": url, "partitions": "5"})
+    for keys, most in ((("NAME",), 200), (("TENANT", "ID"), 200), (("TENANT", "NAME", "ID"), 200), (("AMOUNT",), 200), (("DAY", "ID"), 200), (("GAPS", "ID"), 280), (("GAPS",), 300), (("RATIO",), 1000), (("PATH",), 1000)):
+        df = jdbc.scan(spark, where, TableConfig("T", keys=keys))
+        sizes = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 1000 and df.select("ID").distinct().count() == 1000, keys
+        assert max(sizes) <= most and len(sizes) == (5 if most < 1000 else 1), (keys, sizes)
+
+
+def test_key_literals():
+    assert jdbc.literal("postgresql", "it's") == "'it''s'" and jdbc.literal("mssql", "a") == "N'a'" and jdbc.literal("mysql", "a\\b") is None
+    assert jdbc.literal("mysql", 5) == "5" and jdbc.literal("mysql", True) is None and jdbc.literal("mysql", 1.5) is None and jdbc.literal("mysql", None) is None
+    assert jdbc.tuple_ranges(["a"], []) == ["1=1"]
+
+
 def test_preflight():
     assert jdbc.check_streaming({"binlog_format": "row", "sql_mode": "ANSI,REAL_AS_FLOAT"}) == ["ANSI", "REAL_AS_FLOAT"]
     with pytest.raises(jdbc.PreflightError):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,7 @@ COLUMN_QUERIES = {
     "mssql": "SELECT COLUMN_NAME, DATA_TYPE, NUMERIC_PRECISION, NUMERIC_SCALE, DATETIME_PRECISION FROM INFORMATION_SCHEMA.COLUMNS WHERE TABLE_SCHEMA = '{schema}' AND TABLE_NAME = '{table}' ORDER BY ORDINAL_POSITION",
 }
 TABLE_QUERY = "SELECT table_name FROM information_schema.tables WHERE table_type = 'BASE TABLE' AND table_schema = {schema}"
+PARTS = 16  # key ranges of a read, unless the source's option `partitions` says otherwise
 CREATE_QUERY = "SHOW CREATE TABLE {table}"
 
 
@@ -58,7 +61,7 @@ def key_columns(spark: SparkSession, source: SourceConfig, table: TableConfig) -
 
 @dataclass(frozen=True)
 class Split:
-    """Key ranges of a read: whole numbers are cut evenly between their bounds, other keys are read by one range."""
+    """Key ranges of a read by a key of whole numbers, cut evenly between its bounds."""
 
     column: str
     low: int
@@ -66,7 +69,8 @@ class Split:
     parts: int
 
     def predicates(self) -> list[str]:
-        """Ranges without gaps or overlaps; the first and last are open, so that no row outside the bounds is lost."""
+        """Ranges without gaps or overlaps; the first and last are open, so that no row outside the bounds is lost, and the
+        first has the rows without a key, if keys are stated that can be null."""
         if self.parts < 2 or self.high <= self.low:
             return ["1=1"]
         width = -(-(self.high - self.low + 1) // self.parts)
@@ -74,7 +78,60 @@ class Split:
         if not cuts:
             return ["1=1"]
         middle = [f"{self.column} >= {a} AND {self.column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
-        return [f"{self.column} < {cuts[0]}", *middle, f"{self.column} >= {cuts[-1]}"]
+        return [f"({self.column} < {cuts[0]} OR {self.column} IS NULL)", *middle, f"{self.column} >= {cuts[-1]}"]
+
+
+def literal(kind: str, value) -> str | None:
+    """A key value in the database's SQL; None where its text may not mean the same value there."""
+    if isinstance(value, decimal.Decimal) and value.is_finite():
+        return format(value, "f")
+    if isinstance(value, int) and not isinstance(value, bool):
+        return str(value)
+    if isinstance(value, str) and "\\" not in value and "\0" not in value:  # what a backslash means is a setting of the server
+        return ("N'" if kind == "mssql" else "'") + value.replace("'", "''") + "'"
+    if isinstance(value, datetime.date) and not isinstance(value, datetime.datetime):
+        return f"'{value.isoformat()}'"
+    return None
+
+
+def _beyond(columns: list[str], cut: list[str]) -> str:
+    """Tuples after the cut, without comparing tuples, which not every database can."""
+    (column, *more), (value, *rest) = columns, cut
+    return f"{column} > {value}" if not more else f"({column} >= {value} AND ({column} > {value} OR {_beyond(more, rest)}))"
+
+
+def _upto(columns: list[str], cut: list[str]) -> str:
+    (column, *more), (value, *rest) = columns, cut
+    return f"{column} <= {value}" if not more else f"({column} <= {value} AND ({column} < {value} OR {_upto(more, rest)}))"
+
+
+def tuple_ranges(columns: list[str], cuts: list[list[str]]) -> list[str]:
+    """Ranges between ascending cuts that cover all rows once; rows with a null in their key are in the first."""
+    if not cuts:
+        return ["1=1"]
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    unknown = " OR ".join(f"{c} IS NULL" for c in columns)
+    middle = [f"{known} AND {_beyond(columns, a)} AND {_upto(columns, b)}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [f"({unknown} OR {_upto(columns, cuts[0])})", *middle, f"{known} AND {_beyond(columns, cuts[-1])}"]
+
+
+def cuts_of(spark: SparkSession, source: SourceConfig, table: TableConfig, keys: list[str], parts: int) -> list[list[str]]:
+    """Key tuples that cut a table into parts of equally many rows. Each is found from the one before, in the database's
+    own order, so that all queries together walk the key's index once; they end at a value that can't be stated."""
+    columns = [quoted(source.kind, k) for k in keys]
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    total = query(spark, source, f"SELECT COUNT(*) AS n FROM {name_of(source, table)} WHERE {known}").first()[0]
+    step = -(-total // max(1, parts))
+    nth = f"LIMIT 1 OFFSET {step - 1}" if source.kind == "mysql" else f"OFFSET {step - 1} ROWS FETCH NEXT 1 ROWS ONLY"
+    found: list[list[str]] = []
+    while 0 < step < total and len(found) < parts - 1:
+        rest = f"{known} AND {_beyond(columns, found[-1])}" if found else known
+        row = query(spark, source, f"SELECT {', '.join(columns)} FROM {name_of(source, table)} WHERE {rest} ORDER BY {', '.join(columns)} {nth}").first()
+        cut = [literal(source.kind, v) for v in row] if row else [None]
+        if None in cut:
+            break
+        found.append(cut)
+    return found
 
 
 def name_of(source: SourceConfig, table: TableConfig) -> str:
@@ -89,18 +146,23 @@ def bounds_of(spark: SparkSession, source: SourceConfig, table: TableConfig, key
     return row[0], row[1]
 
 
-def scan(spark: SparkSession, source: SourceConfig, table: TableConfig, parts: int = 16) -> DataFrame:
-    """The whole table by ranges of its first key; filters and column choice of later steps are pushed into each range."""
+def scan(spark: SparkSession, source: SourceConfig, table: TableConfig, parts: int | None = None) -> DataFrame:
+    """The whole table by ranges of its key; filters and column choice of later steps are pushed into each range.
+
+    A key of one whole number is cut evenly between its bounds; any other, as texts and composite keys, at tuples that
+    the database finds, so that a first column of few values still gives even ranges.
+    """
     keys = key_columns(spark, source, table)
     if not keys:
         raise ValueError(f"{table.name} has no primary key")
-    settings = options(source)
+    settings, parts = options(source), parts or int(source.options.get("partitions") or PARTS)
     try:
         low, high = bounds_of(spark, source, table, keys[0])
     except EmptyTable:
         return spark.read.format("jdbc").options(**settings).option("dbtable", name_of(source, table)).load()
-    whole = isinstance(low, int) and not isinstance(low, bool)
-    ranges = Split(quoted(source.kind, keys[0]), low, high, parts).predicates() if whole else ["1=1"]
+    columns = [quoted(source.kind, k) for k in keys]
+    whole = len(keys) == 1 and isinstance(low, int) and not isinstance(low, bool)
+    ranges = Split(columns[0], low, high, parts).predicates() if whole else tuple_ranges(columns, cuts_of(spark, source, table, keys, parts))
     properties = {k: v for k, v in settings.items() if k != "url"}
     return spark.read.jdbc(settings["url"], name_of(source, table), predicates=ranges, properties=properties)
 
