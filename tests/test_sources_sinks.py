@@ -73,6 +73,42 @@ def test_jdbc_ranges_of_any_key(spark, tmp_path):
         assert max(sizes) <= most and len(sizes) == (5 if most < 1000 else 1), (keys, sizes)
 
 
+@pytest.mark.parametrize("soft", [False, True])
+def test_change_sets_over_a_table(spark, tmp_path, soft):
+    """Batches write their own rows; the table read is the one that applying them one by one to a dict gives."""
+    sink = writers.TableSink(spark, str(tmp_path / "t"), ["id"], soft_delete=soft)
+    rows = spark.range(20_000).select("id", F.concat(F.lit("first "), F.sha2(F.col("id").cast("string"), 256)).alias("v"), F.lit(0).cast("long").alias("at"))
+    sink.append(rows, [])
+    want = {r["id"]: (r["v"], False) for r in rows.collect()}
+    batches = [
+        [(1, "a", 1, "u"), (1, "b", 2, "d"), (2, "c", 1, "u"), (50_000, "n", 1, "c"), (60_000, "x", 1, "d")],
+        [(1, "again", 3, "c"), (2, "z", 4, "d"), (50_000, "m", 2, "u"), (70_000, "y", 1, "c"), (70_000, "y", 2, "d")],
+        [(50_000, "m", 3, "d"), (3, None, 3, "u"), (2, "w", 1, "u")],
+    ]
+    for i, batch in enumerate(batches):
+        sink.merge(spark.createDataFrame(batch, "id long, v string, at long, op string"), "op", ["at"])
+        for key, v, _, op in sorted(batch, key=lambda r: r[2]):
+            last = max(r[2] for r in batch if r[0] == key)
+            if _ != last:
+                continue
+            if op != "d":
+                want[key] = (v, False)
+            elif key in want and soft:
+                want[key] = (want[key][0], True)
+            else:
+                want.pop(key, None)
+        got = {r["id"]: (r["v"], r[writers.DELETED] if soft else False) for r in sink.read().collect()}
+        assert got == want and len(sink.versions()) == i + 2, i
+    sink.append(spark.createDataFrame([(4, "later", 0)], "id long, v string, at long"), [])
+    assert sink.read().where("id = 4").first()["v"] == "later" and len(sink.versions()) == 5
+    sink.append(rows, [])  # half the bytes of the table: the next version is a whole one
+    after = {r["id"]: r["v"] for r in sink.read().collect()}
+    assert len(sink._current()) == 1 and after[4].startswith("first") and sorted(after) == sorted({*want, *range(20_000)})
+    assert sink.vacuum(1) == 6 and sink.read().count() == len(after) and sink.vacuum(5) == 0
+    sink.merge(spark.createDataFrame([(5, "e", 1, "u")], "id long, v string, at long, op string"), "op", ["at"])
+    assert sink.read().where("id = 5").first()["v"] == "e"
+
+
 def test_key_literals():
     assert jdbc.literal("postgresql", "it's") == "'it''s'" and jdbc.literal("mssql", "a") == "N'a'" and jdbc.literal("mysql", "a\\b") is None
     assert jdbc.literal("mysql", 5) == "5" and jdbc.literal("mysql", True) is None and jdbc.literal("mysql", 1.5) is None and jdbc.literal("mysql", None) is None

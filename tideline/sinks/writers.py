@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import changes
@@ -14,6 +14,7 @@ from tideline.session import fresh
 
 REQUEST_BYTES = 1_048_576
 UPDATED, DB_UPDATED, DELETED = "__updated_at", "__db_updated_at", "__deleted"
+CHANGE_SETS = 16  # that are laid over a whole version before the next whole one is written, at most
 
 
 def kafka_options(given: dict) -> dict[str, str]:
@@ -42,17 +43,26 @@ def publish(messages: DataFrame, options: dict) -> None:
 
 
 class TableSink:
-    """A table as versions of Parquet below a folder; who reads takes the newest complete one, and nothing is overwritten in place."""
+    """A table as versions of Parquet below a folder; nothing is overwritten in place.
+
+    A version is the whole table or a set of changes: the last image of each changed key, and whether it was removed. Who
+    reads takes the newest whole version and lays the later change sets over it in one aggregation by key (null keys
+    count as equal), so that a batch writes its own rows and not the table. When the change sets are many or have half
+    the bytes of the whole version, the next whole one is written.
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], soft_delete: bool = False, updated: bool = False):
         self.spark, self.path, self.keys, self.soft_delete, self.updated = spark, path, keys, soft_delete, updated
 
+    def _path(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
     def _files(self):
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+        path = self._path(self.path)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
     def versions(self) -> list[str]:
+        """Complete versions, oldest first."""
         fs, path = self._files()
         if not fs.exists(path):
             return []
@@ -60,12 +70,56 @@ class TableSink:
         done = [s.getPath() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
         return sorted(p.toString() for p in done)
 
+    def _current(self) -> list[str]:
+        """The newest whole version and the change sets after it."""
+        found = self.versions()
+        whole = [i for i, v in enumerate(found) if "-changes-" not in v.rsplit("/", 1)[-1]]
+        return found[whole[-1] :] if whole else []
+
     def read(self) -> DataFrame | None:
+        current = self._current()
+        if not current:
+            return None
+        whole = self.spark.read.parquet(current[0])
+        if len(current) == 1:
+            return whole
+        if self.soft_delete and DELETED not in whole.columns:
+            whole = whole.withColumn(DELETED, F.lit(False))
+        removed, load, left = (fresh(whole.columns, x) for x in ("__removed", "__load", "__left"))
+        every = changes.union_all([whole.withColumns({removed: F.lit(False), load: F.lit(0)}), *[self.spark.read.parquet(v).withColumn(load, F.lit(i)) for i, v in enumerate(current[1:], 1)]])
+        there = F.when(~F.col(removed), F.col(load))
+        last = every.groupBy(*self.keys).agg(F.max_by(F.struct(*whole.columns), there).alias("image"), F.max(there).alias(load), F.max(F.when(F.col(removed), F.col(load))).alias(left))
+        gone = F.coalesce(F.col(left) > F.col(load), F.lit(False))
+        rows = last.where(F.col(load).isNotNull() & (F.lit(self.soft_delete) | ~gone))
+        return rows.select(*[(F.col(f"image.{c}") | gone if self.soft_delete and c == DELETED else F.col(f"image.{c}")).alias(c) for c in whole.columns])
+
+    def _next(self, kind: str) -> str:
         found = self.versions()
-        return self.spark.read.parquet(found[-1]) if found else None
+        number = int(found[-1].rsplit("/", 1)[-1][1:9]) + 1 if found else 0
+        return f"{self.path}/v{number:08d}-{kind}{uuid.uuid4().hex[:8]}"
 
     def put(self, df: DataFrame) -> None:
-        df.write.parquet(f"{self.path}/v{len(self.versions()):08d}-{uuid.uuid4().hex[:8]}")
+        """A whole version."""
+        df.write.parquet(self._next(""))
+
+    def _put_changes(self, images: DataFrame, gone: Column) -> None:
+        """A change set: one row per key, in the table's columns; then a whole version if it is due."""
+        columns = self.read().columns
+        removed = fresh(columns, "__removed")
+        images.withColumn(removed, F.coalesce(gone, F.lit(False))).select(*columns, removed).write.parquet(self._next("changes-"))
+        fs, _ = self._files()
+        whole, *sets = [fs.getContentSummary(self._path(v)).getLength() for v in self._current()]
+        if len(sets) >= CHANGE_SETS or 2 * sum(sets) >= whole:
+            self.put(self.read())
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete what lies before the last `keep` whole versions; the number of versions deleted. Who still reads one fails."""
+        found = self.versions()
+        whole = [i for i, v in enumerate(found) if "-changes-" not in v.rsplit("/", 1)[-1]]
+        old = found[: whole[-keep]] if 0 < keep <= len(whole) else []
+        for v in old:
+            self._files()[0].delete(self._path(v), True)
+        return len(old)
 
     def prepare(self, action: str) -> None:
         """Before a backfill: nothing, truncate (no rows, schema kept) or drop."""
@@ -88,20 +142,19 @@ class TableSink:
         """Add rows, then keep the last of each key: by the order, and in the end, or without one, those loaded later."""
         old, new = self.read(), self._marked(df)
         load = fresh(new.columns, "_load")
-        whole = new.withColumn(load, F.lit(1))
-        if old is not None:
-            whole = old.withColumn(load, F.lit(0)).unionByName(whole)
-        self.put(changes.latest(whole, self.keys, [*order, load]).drop(load))
+        if old is None or order:
+            whole = new.withColumn(load, F.lit(1))
+            if old is not None:
+                whole = old.withColumn(load, F.lit(0)).unionByName(whole)
+            self.put(changes.latest(whole, self.keys, [*order, load]).drop(load))
+        else:
+            self._put_changes(changes.latest(new, self.keys, []), F.lit(False))
 
     def merge(self, df: DataFrame, op: str, order: list[str]) -> None:
-        old = self.read()
-        if old is None:
-            old = self._marked(df.drop(op).where("false"))
-        if self.soft_delete:
-            marks = [c for c in old.columns if c == DELETED]
-            self.put(changes.soft_delete(old.drop(*marks), df, self.keys, op, order, DELETED))
-        else:
-            self.put(changes.merge(old, df, self.keys, op, order))
+        """Apply changes: of each key the last by the order, whatever the table has; d removes or flags it, others upsert."""
+        if self.read() is None:
+            self.create_empty(df.drop(op))
+        self._put_changes(self._marked(changes.latest(df, self.keys, order)), F.col(op) == "d")
 
 
 def write(batches: list[DataFrame], put: Callable[[DataFrame], None], commit: Callable[[], None] = lambda: None, complete: Callable[[], None] = lambda: None) -> int:
