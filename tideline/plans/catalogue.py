@@ -54,10 +54,15 @@ def keyset_next_page(spark, sf_dir):
     return keyset.page(orders, ["o_orderkey"], (last,), high, False, 500)
 
 
-@query("keyset_composite", f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem WHERE {tuple_sql(LINE_KEYS, '>', (400, 20, 3, 2))} AND {tuple_sql(LINE_KEYS, '<=', (900, 100, 5, 4))}")
+LINE_TUPLE = f"ROW({', '.join(LINE_KEYS)})"
+
+
+@query("keyset_composite", f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem WHERE {LINE_TUPLE} > (SELECT min({LINE_TUPLE}) FROM lineitem) AND {LINE_TUPLE} <= (SELECT max({LINE_TUPLE}) FROM lineitem)")
 def keyset_composite(spark, sf_dir):
+    """All that follows a page that ended at the table's first key tuple, up to its last one."""
     lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_quantity")
-    return lines.where(keyset.after(LINE_KEYS, (400, 20, 3, 2), False) & keyset.up_to(LINE_KEYS, (900, 100, 5, 4)))
+    low, high = keyset.fetch_bounds(lines, LINE_KEYS)
+    return lines.where(keyset.after(LINE_KEYS, low, False) & keyset.up_to(LINE_KEYS, high))
 
 
 @query("keyset_range_override", f"SELECT * FROM conversations WHERE {tuple_sql(['conv_id', 'turn'], '>=', (10, 1))} AND {tuple_sql(['conv_id', 'turn'], '<=', (40, 2))}")
@@ -105,10 +110,10 @@ def project_include(spark, sf_dir):
     return projection.project(table(spark, sf_dir, "customer"), projection.ColumnChoice(included=("c_mktsegment", "c_custkey")), ["c_custkey"])
 
 
-@query("project_json_arrays", "SELECT vec_id, label, list_transform(embedding[1:2], lambda x: floor(x::DOUBLE * 100)::INT)::JSON::VARCHAR AS head FROM embeddings")
+@query("project_json_arrays", "SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 100)::INT)::JSON::VARCHAR AS whole FROM embeddings")
 def project_json_arrays(spark, sf_dir):
-    head = F.transform(F.slice("embedding", 1, 2), lambda x: F.floor(x.cast("double") * 100).cast("int"))
-    return table(spark, sf_dir, "embeddings").select("vec_id", "label", projection.as_json_text(head).alias("head"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 100).cast("int"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", projection.as_json_text(whole).alias("whole"))
 
 
 EVENT_KINDS = "CASE event_id % 6 WHEN 0 THEN 'write_rows' WHEN 1 THEN 'update_rows' WHEN 2 THEN 'delete_rows' WHEN 3 THEN 'query' WHEN 4 THEN 'xid' ELSE 'rotate' END"
@@ -174,12 +179,12 @@ def snapshot_envelope_json(spark, sf_dir):
     return plan.messages(table(spark, sf_dir, "nation"), F.lit(1000), "warehouse", "public.nation")
 
 
-@query("snapshot_plan_typed", "SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 100 AS BIGINT) AS unscaled, c_mktsegment FROM customer WHERE c_custkey >= 20 AND c_custkey <= 120")
+@query("snapshot_plan_typed", "SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 100 AS BIGINT) AS unscaled, c_mktsegment FROM customer")
 def snapshot_plan_typed(spark, sf_dir):
-    """Declared types, excluded columns and a key range in one plan; the decimal is decoded from its wire bytes."""
+    """Declared types and excluded columns in one plan over the whole table; the decimal is decoded from its wire bytes."""
     rows = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
     kinds = {"c_custkey": mysql.parse("bigint"), "c_acctbal": mysql.parse("decimal(12,2)"), "c_mktsegment": mysql.parse("varchar(10)")}
-    plan = SnapshotPlan("customer", ("c_custkey",), kinds, projection.ColumnChoice(excluded=("c_name", "c_nationkey")), (20,), (120,))
+    plan = SnapshotPlan("customer", ("c_custkey",), kinds, projection.ColumnChoice(excluded=("c_name", "c_nationkey")))
     after = plan.events(rows, F.lit(0)).select("after.*")
     return after.select("c_custkey", (numeric.from_twos_complement(F.col("c_acctbal"), 2) * 100).cast("bigint").alias("unscaled"), "c_mktsegment")
 
@@ -543,7 +548,7 @@ def batch_by_bytes(spark, sf_dir):
     return dealt.groupBy("source", "batch").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("bytes"))
 
 
-COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @query("observed_counts", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in COUNTED))
