@@ -1,6 +1,7 @@
 """Toxicity, personal data, mixing: definitions, held-out rows and edge cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -161,6 +162,28 @@ def test_rates_reach_the_targets(spark):
     assert got[["p_poor"]].to_numpy()[::4].mean() > 0.5 > got[["p_poor"]].to_numpy()[1::4].mean()
 
 
+def test_the_lexicon_tells_toxic_rows(spark):
+    """The lexicon is the one that plain counting gives; unseen toxic rows with its words get a high share of that domain."""
+    draw = random.Random(21)
+    plain, bad = [f"p{chr(97 + i)}{c}" for i in range(20) for c in "xyz"], ["Vorg", "GLAB", "nüsk", "Trod"]
+    text = lambda toxic: " ".join([draw.choice(plain) for _ in range(30)] + ([draw.choice(bad) + "," for _ in range(3)] if toxic else []))
+    marks = [(i, int(i % 2), int(i % 5 == 0)) for i in range(800)]
+    rows = [(i, text(t)) for i, _, t in marks] + [(900, text(1)), (901, text(0)), (902, None)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([*marks, (5, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    found, part = mixing._lexicon(docs, labels)
+    drawn = {r.doc_id for r in labels.dropna().where(mixing.share(F.col("doc_id"), part)).collect()}
+    assert part == 0.5 and 300 < len(drawn) < 500
+    toxic, of = {i for i, _, t in marks if t} & drawn, {i: set(re.findall(r"[^\W\d_]+", t.lower())) for i, t in rows if t}
+    odds = lambda w: (a := sum(w in of[i] for i in toxic), math.log((a + 0.5) / (len(toxic) + 1)) - math.log((sum(w in of[i] for i in drawn - toxic) + 0.5) / (len(drawn - toxic) + 1)))
+    every = {w: odds(w) for w in set().union(*of.values())}
+    want = sorted((w for w, (a, o) in every.items() if a >= 3 and o >= 3), key=lambda w: (-every[w][0], w))
+    assert found == want and set(found) == {w.lower() for w in bad}
+    got = {r.doc_id: r for r in mixing.rates(docs, labels).collect()}
+    assert all((got[i].p_toxic > 0.5) == bool(t) for i, _, t in marks) and got[900].p_toxic > 0.5 > 0.1 > max(got[901].p_toxic, got[902].p_toxic)
+    assert abs(got[0].reached_toxic - 0.06) < 0.002
+    assert mixing._lexicon(docs, labels.where("toxic = 0"))[0] == [] and mixing._lexicon(docs.where("false"), labels)[0] == []
+
+
 def test_bounded_rates_match_brute_force(spark):
     draw = np.random.default_rng(4)
     steps = [(int(a), int(b)) for a, b in draw.integers(0, 17, (80, 2))]

@@ -1,7 +1,9 @@
 """Mixing a corpus to target weights of its domains, with soft membership.
 
 The labels table names three domains: toxic (toxic = 1), clean (quality = 1) and poor (quality = 0). A naive Bayes
-classifier over binned text features, counted from all labelled rows, gives each document a posterior p over them. A
+classifier over binned text features, counted from all labelled rows, gives each document a posterior p over them. One of
+the features counts a text's different words of a lexicon: words much commoner in toxic rows than in others, learned from a
+bounded share of the labelled rows; its bins are counted from the others, so that they show what unseen texts have. A
 document with n tokens and rate r adds r * n * p[k] expected tokens to domain k; projected gradient descent with
 momentum finds rates, nonnegative and at most `upper`, whose totals T[k] fit the targets t[k] in least squares, weighted by
 1 / (tokens of k), starting from rate 1 and moving each rate in the metric of its document's tokens.
@@ -14,7 +16,8 @@ The descent ends when every total is within TOLERANCE of the budget from its tar
 vanishes, as no rates come closer to the targets then; targets that are missed are logged as a warning.
 
 Defined results: a null text counts as empty (0 tokens, the posterior of its features); a document without tokens has
-rate 1 like any other of its posterior; without labelled rows the posterior is uniform; null labels are ignored, and a
+rate 1 like any other of its posterior; without labelled rows the posterior is uniform, and without words for a lexicon
+that feature is left out; null labels are ignored, and a
 doc_id with several labels counts with each; rows that repeat a doc_id give one result row each; an empty table gives no
 rows; other columns are ignored or, in `mixed`, kept.
 """
@@ -27,13 +30,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import once
+from tideline.llm.common import once, share
 from tideline.session import settled
 
 DOMAINS = ("clean", "poor", "toxic")
 TARGETS = (0.88, 0.06, 0.06)
 STEPS = 32  # of a posterior
 BINS = 12  # of a feature
+LEXICON = 512  # words of the lexicon at most
+LEXICON_ROWS = 16_000  # labelled ids that it is learned from, about, and half of them at most
+LEAST_ODDS, LEAST_ROWS = 3.0, 3  # log odds ratio and toxic rows of a word of the lexicon
 TOLERANCE = 1e-3  # of the budget, by which a total may miss its target
 STILL = 1e-7  # of the budget: tokens by which the projected gradient moves where no rates come closer
 ROUNDS, ROUNDS_AT_ONCE = 100_000, 100  # a descent that long is cut off with a warning; rounds of one job
@@ -52,8 +58,14 @@ def _log_bin(value: Column, least: float, most: float) -> Column:
     return F.when(value <= 0, 0).otherwise(F.least(F.lit(BINS - 1), F.greatest(F.lit(1), F.floor(steps).cast("int") + 2))).cast("int")
 
 
-def features(text: Column) -> Column:
-    """Bins of a text's dense features, array<int>."""
+def _letters(text: Column) -> Column:
+    """Lower-cased runs of letters."""
+    return F.split(F.lower(text), r"[^\p{L}]+")
+
+
+def features(text: Column, lexicon: list[str]) -> Column:
+    """Bins of a text's dense features, array<int>; that of the lexicon is left out where it is empty."""
+    hits = [F.least(F.lit(BINS - 1), F.size(F.array_distinct(F.filter(_letters(text), lambda w: w.isin(lexicon)))))] if lexicon else []
     chars = F.greatest(F.length(text), F.lit(1)).cast("double")
     words = F.greatest(tokens(text), F.lit(1)).cast("double")
     count = lambda p: F.regexp_count(text, F.lit(p))
@@ -66,10 +78,11 @@ def features(text: Column) -> Column:
         _log_bin((F.octet_length(text) - F.length(text)) / chars, 1e-3, 1.0),
         _log_bin(chars / words, 2.0, 16.0),
         _log_bin(words, 4.0, 8192.0),
+        *hits,
     )
 
 
-N_FEATURES = 8
+HITS = 8  # the lexicon's place among the features
 
 
 def _domain() -> Column:
@@ -77,12 +90,36 @@ def _domain() -> Column:
     return F.when(toxic == 1, 2).when(quality == 1, 0).when(quality == 0, 1)
 
 
-def _classifier(known: DataFrame, labels: DataFrame) -> list:
-    """Log weights [feature][bin][domain], and the log prior; known: doc_id, bins."""
-    named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), _domain().alias("k")).where("k is not null")
-    each = known.join(named, "doc_id").select("k", F.posexplode("bins").alias("feature", "bin"))
-    count = np.ones((N_FEATURES, BINS, len(DOMAINS)))
-    for r in each.groupBy("k", "feature", "bin").count().collect():  # at most 8 * 12 * 3 rows
+def _named(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id"), _domain().alias("k")).where("k is not null and doc_id is not null")
+
+
+def _lexicon(docs: DataFrame, labels: DataFrame) -> tuple[list[str], float]:
+    """Words that name toxic rows, and the share of labelled ids that they were learned from."""
+    named = _named(labels)
+    part = min(0.5, LEXICON_ROWS / max(1, named.select("doc_id").distinct().count()))
+    # drawn by id, as rows of an id must not be on both sides; some LEXICON_ROWS ids, so a broadcast of them is bounded
+    drawn = named.where(share(F.col("doc_id"), part)).distinct()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(drawn), "doc_id")
+    toxic = F.count_if(F.col("k") == 2)
+    # a row's words once, and an empty one, which every row is given, for the numbers of rows
+    every = F.array_union(F.array(F.lit("")), F.filter(_letters(F.col("text")), lambda w: (F.length(w) > 1) & (F.length(w) <= 32)))
+    words = settled(rows.select("k", F.explode(every).alias("word")).groupBy("word").agg(toxic.alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("a") >= LEAST_ROWS))
+    whole = words.where("word = ''").first()
+    if whole is None:
+        return [], part
+    odds = F.ln((F.col("a") + 0.5) / (whole["a"] + 1.0)) - F.ln((F.col("n") - F.col("a") + 0.5) / (whole["n"] - whole["a"] + 1.0))
+    found = words.where((F.col("word") != "") & (odds >= LEAST_ODDS)).orderBy(F.desc("a"), "word").limit(LEXICON).collect()
+    return [r["word"] for r in found], part
+
+
+def _classifier(known: DataFrame, labels: DataFrame, part: float, n_features: int) -> list:
+    """Log weights [feature][bin][domain], and the log prior; known: doc_id, bins; part: the lexicon's share of ids."""
+    each = known.join(_named(labels), "doc_id").select("doc_id", "k", F.posexplode("bins").alias("feature", "bin"))
+    each = each.where((F.col("feature") != HITS) | ~share(F.col("doc_id"), part))
+    count = np.ones((n_features, BINS, len(DOMAINS)))
+    for r in each.groupBy("k", "feature", "bin").count().collect():  # at most 9 * 12 * 3 rows
         count[r["feature"], r["bin"], r["k"]] += r["count"]
     total = count.sum(axis=1)
     return [np.log(count / total[:, None, :]).tolist(), np.log(total[0] / total[0].sum()).tolist()]
@@ -94,7 +131,7 @@ def _posterior(bins: Column, weights: list) -> Column:
     flat = F.lit([x for row in table for cell in row for x in cell])
     n = len(DOMAINS)
     cell = lambda f, k: F.get(flat, (f * BINS + F.get(bins, f)) * n + k)
-    features_ = F.sequence(F.lit(0), F.lit(N_FEATURES - 1))
+    features_ = F.sequence(F.lit(0), F.lit(len(table) - 1))
     return F.transform(F.lit(prior), lambda x, k: F.aggregate(features_, x, lambda a, f: a + cell(f, k)))
 
 
@@ -183,11 +220,12 @@ def _shares() -> list[Column]:
     return [first, second, F.lit(1.0) - first - second]
 
 
-def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, by_first: bool) -> tuple[DataFrame, DataFrame, list, list]:
-    """(doc_id, n_tokens, s0, s1) per row, (s0, s1, rate) per posterior, the classifier, and the totals reached as shares of the budget."""
+def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, by_first: bool) -> tuple[DataFrame, DataFrame, tuple, list]:
+    """(doc_id, n_tokens, s0, s1) per row, (s0, s1, rate) per posterior, the classifier with its lexicon, and the totals reached as shares of the budget."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    known = settled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), tokens(text).alias("n_tokens"), features(text).alias("bins")))
-    weights = _classifier(known, labels)
+    lexicon, part = _lexicon(docs, labels)
+    known = settled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), tokens(text).alias("n_tokens"), features(text, lexicon).alias("bins")))
+    weights = _classifier(known, labels, part, HITS + bool(lexicon))
     members = known.select("doc_id", "n_tokens", _posterior(F.col("bins"), weights).alias("logs")).select("doc_id", "n_tokens", _steps(F.col("logs")).alias("s")).select("doc_id", "n_tokens", "s.*")
     # at most (STEPS + 1) * (STEPS + 2) / 2 rows
     by_posterior = settled(members.groupBy("s0", "s1").agg(F.sum("n_tokens").cast("double").alias("n")).coalesce(1))
@@ -195,7 +233,7 @@ def _rated(docs: DataFrame, labels: DataFrame, targets, upper: float | None, by_
     if by_first:
         budget = float(by_posterior.agg(F.sum(F.col("n") * _shares()[0])).first()[0] or 0) / targets[0] * sum(targets)
     rated, goal, reached = fit(by_posterior, list(targets), upper, budget)
-    return members, settled(rated), weights, [x / sum(goal) if sum(goal) else 0.0 for x in reached]
+    return members, settled(rated), (weights, lexicon), [x / sum(goal) if sum(goal) else 0.0 for x in reached]
 
 
 def draw(doc_id: Column) -> Column:
@@ -223,11 +261,11 @@ def rates(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
 def mixed(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
     """The rows of docs that a mix keeps, all columns: rates of at most 1, so that no document is repeated, at the budget
     that needs all of the first domain; a row stays if its draw is below its rate."""
-    _, rated, weights, _ = _rated(docs, labels, targets, 1.0, True)
+    _, rated, (weights, lexicon), _ = _rated(docs, labels, targets, 1.0, True)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # at most some hundred rates whatever the input, as one array; one expression, so a text's features are made once
     at = lambda s: s["s0"] * (STEPS + 1) + s["s1"]
     found = {at(r): r["rate"] for r in rated.collect()}
     by_place = F.lit([found.get(i, 0.0) for i in range((STEPS + 1) ** 2)])
-    rate = once(features(text), lambda b: once(_steps(_posterior(b, weights)), lambda s: F.get(by_place, at(s))))
+    rate = once(features(text, lexicon), lambda b: once(_steps(_posterior(b, weights)), lambda s: F.get(by_place, at(s))))
     return docs.where(draw(F.col("doc_id")) < rate)
